@@ -5,7 +5,8 @@ task. Here the ordering is a path of levels, each level a coarser version of the
 integer key: ``key >> 32``, ``key >> 16``, ``key``). Sums per level are grouped with map-side
 combine, prefix sums run among the children of one node, and each node hands its offset down by
 an equi-join. With 16 bits per level no window ever holds more than 65,536 rows, whatever the
-spread of the keys, and the result is exact.
+spread of the keys, and the result is exact. Every level reads the input, so it is staged first;
+an input counted to be small then takes the plain window.
 """
 
 from __future__ import annotations
@@ -16,9 +17,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfflow.functions.numeric import whole_div
+from shelfflow.sources.staging import stage
 
 Level = tuple[str, bool]
 
+# Inputs up to this many rows fit one sorted window; larger ones go level by level.
+ONE_TASK_ROWS = 500_000
+
 
 def integer_levels(df: DataFrame, key: str, bits: int = 48, descending: bool = False) -> tuple[DataFrame, list[Level]]:
     """Add the coarser versions of an integer ``key`` and name the levels, coarsest first.
@@ -32,26 +37,28 @@ def integer_levels(df: DataFrame, key: str, bits: int = 48, descending: bool = F
 
 
 def running_before(
-    df: DataFrame, levels: Sequence[Level], measures: Sequence[str], partition: Sequence[str] = ()
+    df: DataFrame,
+    levels: Sequence[Level],
+    measures: Sequence[str],
+    partition: Sequence[str] = (),
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over earlier rows) and ``<m>_total`` (over the partition).
 
     The levels must identify a row within its partition; each is ``(column, descending)``.
     """
     partition = list(partition)
+    if len(levels) > 1:
+        df = stage(df)
+        if df.count() <= one_task_rows:
+            return _sums_before(df, partition, levels, measures, totals=True)
     upper: DataFrame | None = None
-    for depth, (level, descending) in enumerate(levels):
+    for depth, (level, _) in enumerate(levels):
         parents = partition + [name for name, _ in levels[:depth]]
         last = depth == len(levels) - 1
         node = df if last else df.groupBy(*parents, level).agg(*[F.sum(m).alias(m) for m in measures])
-        siblings = Window.partitionBy(*parents)
-        earlier = siblings.orderBy(F.col(level).desc() if descending else F.col(level).asc()).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        node = node.withColumns({f"{m}_before": F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m in measures})
-        if upper is None:
-            node = node.withColumns({f"{m}_total": F.sum(m).over(siblings) for m in measures})
-        else:
+        node = _sums_before(node, parents, [levels[depth]], measures, totals=upper is None)
+        if upper is not None:
             offsets = upper.select(
                 *parents,
                 *[F.col(f"{m}_before").alias(f"_{m}_offset") for m in measures],
@@ -65,6 +72,19 @@ def running_before(
     return upper
 
 
+def _sums_before(
+    df: DataFrame, partition: Sequence[str], levels: Sequence[Level], measures: Sequence[str], totals: bool
+) -> DataFrame:
+    """One window: sums over the rows before, and over the whole partition on request."""
+    siblings = Window.partitionBy(*partition)
+    directed = [F.col(name).desc() if descending else F.col(name).asc() for name, descending in levels]
+    earlier = siblings.orderBy(*directed).rowsBetween(Window.unboundedPreceding, -1)
+    columns = {f"{m}_before": F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m in measures}
+    if totals:
+        columns |= {f"{m}_total": F.sum(m).over(siblings) for m in measures}
+    return df.withColumns(columns)
+
+
 def tile(position: Column, rows: Column, tiles: int) -> Column:
     """The NTILE number of the row at 1-based ``position`` among ``rows``."""
     k = F.lit(tiles).cast("long")

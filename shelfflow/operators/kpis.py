@@ -9,6 +9,7 @@ from shelfflow.functions.numeric import cents, deviation, half_up, quotient, rou
 from shelfflow.functions.ordering import integer_levels, running_before, tile
 from shelfflow.operators.facts import CELL, Tables, running, with_names
 from shelfflow.schemas import Params
+from shelfflow.sources.staging import stage
 
 
 def abc_classification(sales: DataFrame, p: Params = Params()) -> DataFrame:
@@ -17,7 +18,7 @@ def abc_classification(sales: DataFrame, p: Params = Params()) -> DataFrame:
     SKUs of equal revenue share one cumulative value, so the running totals run over the distinct
     revenues, in bounded windows, and come back to the SKUs by an equi-join.
     """
-    skus = (
+    skus = stage(
         sales.groupBy("sku_id", "sku_name")
         .agg(F.sum("total_revenue").alias("total_revenue"))
         .withColumn("revenue_cents", cents(F.col("total_revenue")).cast("long"))

@@ -42,14 +42,15 @@ def test_half_up(spark):
     assert spark.range(1).select(half_up(F.lit(1.25), 1)).first()[0] == 1.3
 
 
+@pytest.mark.parametrize("one_task_rows", [0, 10**6])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals_cross_all_levels(spark, descending):
+def test_running_totals_cross_all_levels(spark, descending, one_task_rows):
     rng = random.Random(5)
     keys = rng.sample(range(0, 2**20), 300) + rng.sample(range(2**33, 2**40), 100) + [0, 2**47, 2**50]
     keys = sorted(set(keys))
     rows = [(p, k, rng.randrange(9)) for p in ("x", "y") for k in keys]
     df, levels = integer_levels(spark.createDataFrame(rows, "p string, k bigint, m bigint"), "k", descending=descending)
-    got = {(r.p, r.k): (r.m_before, r.m_total) for r in running_before(df, levels, ["m"], ["p"]).collect()}
+    got = {(r.p, r.k): (r.m_before, r.m_total) for r in running_before(df, levels, ["m"], ["p"], one_task_rows).collect()}
     assert len(got) == len(rows)
     for p in ("x", "y"):
         own = sorted(((k, m) for q, k, m in rows if q == p), reverse=descending)
@@ -59,12 +60,22 @@ def test_running_totals_cross_all_levels(spark, descending):
             before += m
 
 
-def test_running_totals_without_partition(spark):
+@pytest.mark.parametrize("one_task_rows", [0, 10**6])
+def test_running_totals_without_partition(spark, one_task_rows):
     df, levels = integer_levels(spark.range(1000).withColumn("m", F.lit(1).cast("long")), "id", bits=32)
-    got = running_before(df, levels, ["m"])
+    got = running_before(df, levels, ["m"], one_task_rows=one_task_rows)
     assert got.filter("m_before <> id OR m_total <> 1000").count() == 0
 
 
+def test_levels_with_ties_above_the_last(spark):
+    """A hot value: most rows share it, and the next levels tell them apart."""
+    rows = spark.range(5000).selectExpr("id AS k", "if(id % 10 < 9, 0L, id % 7) AS units", "1L AS one")
+    keyed, by_key = integer_levels(rows, "k", bits=32)
+    got = running_before(keyed, [("units", True), *by_key], ["one"], one_task_rows=0)
+    want = Window.partitionBy().orderBy(F.desc("units"), "k")
+    assert got.withColumn("rn", F.row_number().over(want)).filter("one_before <> rn - 1").count() == 0
+
+
 def test_levels_bound_every_window(spark):
     """Below the first level no node has more than 2**16 children."""
     df, levels = integer_levels(spark.range(0, 2**18, 1, 4), "id", bits=32)
