@@ -7,8 +7,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from shelfflow.operators import facts, features, fifo, kpis
+from shelfflow.operators import facts, features, fifo, kpis, reorder
 from shelfflow.plans import demand, warehouse
+from shelfflow.sources.files import write_fact
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +33,20 @@ def test_publish_registers_everything(shop, spark, frame, tmp_path):
     assert spark.sql("SELECT count(*) FROM orders").first()[0] == 6
 
 
+def test_from_tables_to_reorder_points(tables, spark, tmp_path):
+    """The flow of the README on benchmark tables, with a small model."""
+    t = warehouse.allocate_batches(tables)
+    views = warehouse.publish(t, folder=str(tmp_path / "facts"))
+    clean = features.cap_dates(views["view_forecast_features_clean"], date(2025, 3, 31))
+    m = demand.ModelParams(max_iter=2, max_depth=3, max_bins=32)
+    forecasts = write_fact(demand.demand_forecasts(clean, m=m), str(tmp_path / "forecasts"), ["snapshot_date"])
+    points = reorder.reorder_points(
+        forecasts, views["view_sales_velocity"], views["view_store_sku_supplier_leadtime"]
+    )
+    assert points.count() == clean.filter("snapshot_date >= '2025-03-01'").count() > 0
+    assert points.filter("reorder_point < safety_stock").count() == 0
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
