@@ -41,7 +41,7 @@ def running_before(
     levels: Sequence[Level],
     measures: Sequence[str],
     partition: Sequence[str] = (),
-    one_task_rows: int = ONE_TASK_ROWS,
+    one_task_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over earlier rows) and ``<m>_total`` (over the partition).
 
@@ -50,7 +50,7 @@ def running_before(
     partition = list(partition)
     if len(levels) > 1:
         df = stage(df)
-        if df.count() <= one_task_rows:
+        if df.count() <= (ONE_TASK_ROWS if one_task_rows is None else one_task_rows):
             return _sums_before(df, partition, levels, measures, totals=True)
     upper: DataFrame | None = None
     for depth, (level, _) in enumerate(levels):

@@ -9,12 +9,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shelfflow-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a temporary one only for a local session without it."""
     folder = spark.conf.get(SETTING, None)
@@ -22,9 +28,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="shelfflow-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return _local_folder()
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry_points
+from shelfflow.functions import ordering
 
 FOLDER = "/root/testdata/sf0.001"
 SQL = entry_points.oracle_sql()
@@ -30,6 +31,14 @@ def test_query_equals_sql(spark, con, key):
     assert difference == ""
 
 
+@pytest.mark.parametrize("key", ["abc_classification", "sales_velocity", "prep_batch_keys", "prep_products", "prep_store_weights"])
+def test_ranking_level_by_level_equals_sql(spark, con, key, monkeypatch):
+    """The path for inputs too large for one window, whatever their size here."""
+    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", 0)
+    _, difference = compare(entry_points.queries()[key](spark, FOLDER), con, SQL[key])
+    assert difference == ""
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns[:3] == ["store_id", "store_name", "sku_id"]
