@@ -1,12 +1,13 @@
 """Running totals, ranks and tiles over an ordering without an unbounded window.
 
 A plain ``Window.orderBy`` without partition keys, or with few of them, sorts all its rows in one
-task. Here the ordering is a path of levels, each level a coarser version of the next one (for an
-integer key: ``key >> 32``, ``key >> 16``, ``key``). Sums per level are grouped with map-side
-combine, prefix sums run among the children of one node, and each node hands its offset down by
-an equi-join. With 16 bits per level no window ever holds more than 65,536 rows, whatever the
-spread of the keys, and the result is exact. Every level reads the input, so it is staged first;
-an input counted to be small then takes the plain window.
+task. Here the rows are dealt out in ranges of the ordering and staged with the number of their
+range. Sums before a row are then the sum over the earlier rows of its own range, one sorted pass
+in its task, plus the sum over the earlier ranges, which needs one row per range. The same steps run
+for every size: a small input simply has one range.
+
+The largest window holds one range, whose size the shuffle settings bound, whatever the keys are;
+rows that agree in the whole ordering share a range.
 """
 
 from __future__ import annotations
@@ -19,70 +20,42 @@ from pyspark.sql import functions as F
 from shelfflow.functions.numeric import whole_div
 from shelfflow.sources.staging import stage
 
-Level = tuple[str, bool]
-
-# Inputs up to this many rows fit one sorted window; larger ones go level by level.
-ONE_TASK_ROWS = 500_000
-
-
-def integer_levels(df: DataFrame, key: str, bits: int = 48, descending: bool = False) -> tuple[DataFrame, list[Level]]:
-    """Add the coarser versions of an integer ``key`` and name the levels, coarsest first.
-
-    ``bits`` is the expected width; wider keys stay right and only widen the first level.
-    """
-    shifts = list(range(bits - 16, 0, -16))
-    names = [f"_{key}_{s}" for s in shifts]
-    df = df.withColumns({n: F.shiftright(F.col(key).cast("long"), s) for n, s in zip(names, shifts)})
-    return df, [(n, descending) for n in [*names, key]]
+Key = tuple[str, bool]
+RANGE = "_range"
 
 
 def running_before(
-    df: DataFrame,
-    levels: Sequence[Level],
-    measures: Sequence[str],
-    partition: Sequence[str] = (),
-    one_task_rows: int | None = None,
+    df: DataFrame, order: Sequence[Key], measures: Sequence[str], partition: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over earlier rows) and ``<m>_total`` (over the partition).
 
-    The levels must identify a row within its partition; each is ``(column, descending)``.
+    ``order`` lists ``(column, descending)`` and should identify a row within its partition; NULL
+    comes first, or last if descending, and NULL partition keys form a partition like any other.
+    ``ranges`` is the number of ranges, by default that of the session's shuffles.
     """
     partition = list(partition)
-    if len(levels) > 1:
-        df = stage(df)
-        if df.count() <= (ONE_TASK_ROWS if one_task_rows is None else one_task_rows):
-            return _sums_before(df, partition, levels, measures, totals=True)
-    upper: DataFrame | None = None
-    for depth, (level, _) in enumerate(levels):
-        parents = partition + [name for name, _ in levels[:depth]]
-        last = depth == len(levels) - 1
-        node = df if last else df.groupBy(*parents, level).agg(*[F.sum(m).alias(m) for m in measures])
-        node = _sums_before(node, parents, [levels[depth]], measures, totals=upper is None)
-        if upper is not None:
-            offsets = upper.select(
-                *parents,
-                *[F.col(f"{m}_before").alias(f"_{m}_offset") for m in measures],
-                *[f"{m}_total" for m in measures],
-            )
-            node = node.join(offsets, parents).withColumns(
-                {f"{m}_before": F.col(f"{m}_before") + F.col(f"_{m}_offset") for m in measures}
-            )
-            node = node.drop(*[f"_{m}_offset" for m in measures])
-        upper = node
-    return upper
+    directed = [F.col(name).desc() if descending else F.col(name).asc() for name, descending in order]
+    dealt = [*[F.col(p).asc() for p in partition], *directed]
+    ranged = df.repartitionByRange(ranges, *dealt) if ranges else df.repartitionByRange(*dealt)
+    ranged = stage(ranged.withColumn(RANGE, F.spark_partition_id()))
 
-
-def _sums_before(
-    df: DataFrame, partition: Sequence[str], levels: Sequence[Level], measures: Sequence[str], totals: bool
-) -> DataFrame:
-    """One window: sums over the rows before, and over the whole partition on request."""
+    sums = ranged.groupBy(*partition, RANGE).agg(*[F.sum(m).alias(f"_{m}_sum") for m in measures])
     siblings = Window.partitionBy(*partition)
-    directed = [F.col(name).desc() if descending else F.col(name).asc() for name, descending in levels]
-    earlier = siblings.orderBy(*directed).rowsBetween(Window.unboundedPreceding, -1)
-    columns = {f"{m}_before": F.coalesce(F.sum(m).over(earlier), F.lit(0)) for m in measures}
-    if totals:
-        columns |= {f"{m}_total": F.sum(m).over(siblings) for m in measures}
-    return df.withColumns(columns)
+    earlier = siblings.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        *[F.col(p).alias(f"_{p}_key") for p in partition],
+        F.col(RANGE).alias("_range_key"),
+        *[F.coalesce(F.sum(f"_{m}_sum").over(earlier), F.lit(0)).alias(f"_{m}_offset") for m in measures],
+        *[F.sum(f"_{m}_sum").over(siblings).alias(f"{m}_total") for m in measures],
+    )
+
+    inside = Window.partitionBy(*partition, RANGE).orderBy(*directed).rowsBetween(Window.unboundedPreceding, -1)
+    own = ranged.withColumns({f"{m}_before": F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures})
+    same = [own[RANGE] == sums["_range_key"], *[own[p].eqNullSafe(sums[f"_{p}_key"]) for p in partition]]
+    placed = own.join(sums, same).withColumns(
+        {f"{m}_before": F.col(f"{m}_before") + F.col(f"_{m}_offset") for m in measures}
+    )
+    return placed.drop(RANGE, "_range_key", *[f"_{p}_key" for p in partition], *[f"_{m}_offset" for m in measures])
 
 
 def tile(position: Column, rows: Column, tiles: int) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfflow.functions.numeric import cents, deviation, half_up, quotient, rounded_ratio
-from shelfflow.functions.ordering import integer_levels, running_before, tile
+from shelfflow.functions.ordering import running_before, tile
 from shelfflow.operators.facts import CELL, Tables, running, with_names
 from shelfflow.schemas import Params
 from shelfflow.sources.staging import stage
@@ -16,7 +16,7 @@ def abc_classification(sales: DataFrame, p: Params = Params()) -> DataFrame:
     """Class A, B or C of each SKU by its place in the cumulative revenue.
 
     SKUs of equal revenue share one cumulative value, so the running totals run over the distinct
-    revenues, in bounded windows, and come back to the SKUs by an equi-join.
+    revenues, range by range, and come back to the SKUs by an equi-join.
     """
     skus = stage(
         sales.groupBy("sku_id", "sku_name")
@@ -27,8 +27,7 @@ def abc_classification(sales: DataFrame, p: Params = Params()) -> DataFrame:
         F.count("sku_id").alias("skus"),
         (F.col("revenue_cents").cast("decimal(38,0)") * F.count("sku_id")).alias("revenue"),
     )
-    steps, levels = integer_levels(steps, "revenue_cents", descending=True)
-    steps = running_before(steps, levels, ["skus", "revenue"])
+    steps = running_before(steps, [("revenue_cents", True)], ["skus", "revenue"])
     revenue_total, sku_total = F.col("revenue_total"), F.col("skus_total")
     share = rounded_ratio((F.col("revenue_before") + F.col("revenue")) * 100, revenue_total, 2)
     steps = steps.select(
@@ -67,9 +66,7 @@ def sales_velocity(snapshot: DataFrame, t: Tables, p: Params = Params(), scale:
         )
         .withColumn("rows", F.lit(1).cast("long"))
     )
-    # Integer totals: a store cannot have more distinct ones than the root of twice its units sold.
-    skus, sku_levels = integer_levels(skus, "sku_id", bits=32)
-    ranked = running_before(skus, [("total_units_sold", True), *sku_levels], ["rows"], ["store_id"])
+    ranked = running_before(skus, [("total_units_sold", True), ("sku_id", False)], ["rows"], ["store_id"])
     decile = tile(F.col("rows_before") + 1, F.col("rows_total"), 10)
 
     def per_day(days: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfflow.functions.numeric import rounded_ratio
-from shelfflow.functions.ordering import integer_levels, running_before
+from shelfflow.functions.ordering import running_before
 from shelfflow.operators.facts import CELL
 
 # Category -> (perishable, shortest and longest shelf life in days, demand weight).
@@ -68,8 +68,7 @@ def build_products(
         .agg(F.min("feed_row").alias("feed_row"))
         .withColumn("rows", F.lit(1).cast("long"))
     )
-    keyed, levels = integer_levels(distinct, "feed_row")
-    numbered = running_before(keyed, levels, ["rows"])
+    numbered = running_before(distinct, [("feed_row", False)], ["rows"])
     columns = ("is_perishable", "shelf_life_min_days", "shelf_life_max_days", "demand_weight")
     return numbered.select(
         (F.col("rows_before") + 1).alias("sku_id"),
@@ -87,9 +86,7 @@ def build_products(
 def store_demand_weights(stores: DataFrame, tiers: Mapping[str, int] = ZONE_TIERS) -> DataFrame:
     """Demand weight of a store: 60 % zone tier, 40 % capacity third (equal capacity: lower id first)."""
     keyed = stores.select("store_id", "zone", "capacity_units").withColumn("rows", F.lit(1).cast("long"))
-    keyed, by_capacity = integer_levels(keyed, "capacity_units", bits=32, descending=True)
-    keyed, by_id = integer_levels(keyed, "store_id", bits=32)
-    ranked = running_before(keyed, [*by_capacity, *by_id], ["rows"])
+    ranked = running_before(keyed, [("capacity_units", True), ("store_id", False)], ["rows"])
     n, place = F.col("rows_total"), F.col("rows_before")
     top, middle, bottom = CAPACITY_FACTORS
     factor = (
@@ -107,9 +104,8 @@ def with_order_date(orders: DataFrame) -> DataFrame:
 def assign_batch_keys(po: DataFrame, opening: bool = False) -> DataFrame:
     """PO lines with one consecutive ``batch_id`` per store, supplier and delivery day.
 
-    ``opening=True`` numbers opening stock, one batch per store and supplier. The numbering walks
-    store, then supplier, then day: the largest window holds the days of one supplier in one store
-    or the suppliers of one store.
+    ``opening=True`` numbers opening stock, one batch per store and supplier. NULL keys come first
+    and count like any other value.
     """
     key = ["store_id", "supplier_id"] + ([] if opening else ["actual_delivery_date"])
     batches = po.select(*key).distinct().withColumn("rows", F.lit(1).cast("long"))

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfflow.functions.numeric import deviation, half_up, rounded_ratio
-from shelfflow.functions.ordering import integer_levels, running_before, tile
+from shelfflow.functions.ordering import running_before, tile
 
 
 def test_rounded_ratio_is_half_away_from_zero(spark):
@@ -42,17 +42,18 @@ def test_half_up(spark):
     assert spark.range(1).select(half_up(F.lit(1.25), 1)).first()[0] == 1.3
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 10**6])
+@pytest.mark.parametrize("ranges", [1, 7, 50])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals_cross_all_levels(spark, descending, one_task_rows):
+def test_running_totals_do_not_depend_on_the_ranges(spark, descending, ranges):
     rng = random.Random(5)
     keys = rng.sample(range(0, 2**20), 300) + rng.sample(range(2**33, 2**40), 100) + [0, 2**47, 2**50]
     keys = sorted(set(keys))
-    rows = [(p, k, rng.randrange(9)) for p in ("x", "y") for k in keys]
-    df, levels = integer_levels(spark.createDataFrame(rows, "p string, k bigint, m bigint"), "k", descending=descending)
-    got = {(r.p, r.k): (r.m_before, r.m_total) for r in running_before(df, levels, ["m"], ["p"], one_task_rows).collect()}
+    rows = [(p, k, rng.randrange(9)) for p in ("x", "y", None) for k in keys]
+    df = spark.createDataFrame(rows, "p string, k bigint, m bigint")
+    placed = running_before(df, [("k", descending)], ["m"], ["p"], ranges)
+    got = {(r.p, r.k): (r.m_before, r.m_total) for r in placed.collect()}
     assert len(got) == len(rows)
-    for p in ("x", "y"):
+    for p in ("x", "y", None):
         own = sorted(((k, m) for q, k, m in rows if q == p), reverse=descending)
         total, before = sum(m for _, m in own), 0
         for k, m in own:
@@ -60,27 +61,28 @@ def test_running_totals_cross_all_levels(spark, descending, one_task_rows):
             before += m
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 10**6])
-def test_running_totals_without_partition(spark, one_task_rows):
-    df, levels = integer_levels(spark.range(1000).withColumn("m", F.lit(1).cast("long")), "id", bits=32)
-    got = running_before(df, levels, ["m"], one_task_rows=one_task_rows)
+@pytest.mark.parametrize("ranges", [1, 50])
+def test_running_totals_without_partition(spark, ranges):
+    df = spark.range(1000).withColumn("m", F.lit(1).cast("long"))
+    got = running_before(df, [("id", False)], ["m"], ranges=ranges)
     assert got.filter("m_before <> id OR m_total <> 1000").count() == 0
 
 
-def test_levels_with_ties_above_the_last(spark):
-    """A hot value: most rows share it, and the next levels tell them apart."""
+def test_ties_in_the_first_key(spark):
+    """A hot value: most rows share it, and the next key tells them apart."""
     rows = spark.range(5000).selectExpr("id AS k", "if(id % 10 < 9, 0L, id % 7) AS units", "1L AS one")
-    keyed, by_key = integer_levels(rows, "k", bits=32)
-    got = running_before(keyed, [("units", True), *by_key], ["one"], one_task_rows=0)
+    got = running_before(rows, [("units", True), ("k", False)], ["one"], ranges=20)
     want = Window.partitionBy().orderBy(F.desc("units"), "k")
     assert got.withColumn("rn", F.row_number().over(want)).filter("one_before <> rn - 1").count() == 0
 
 
-def test_levels_bound_every_window(spark):
-    """Below the first level no node has more than 2**16 children."""
-    df, levels = integer_levels(spark.range(0, 2**18, 1, 4), "id", bits=32)
-    names = [n for n, _ in levels]
-    assert df.groupBy(names[0]).count().agg(F.max("count")).first()[0] == 2**16
+def test_a_range_bounds_the_largest_window(spark):
+    """A hot partition key spreads over the ranges: no window holds more than a few shares."""
+    rows = spark.range(100_000).selectExpr("if(id % 10 < 9, 1, id) AS p", "id AS k", "1L AS one")
+    placed = running_before(rows, [("k", False)], ["one"], ["p"], ranges=50)
+    assert "_range" not in placed.columns
+    ranged = rows.repartitionByRange(50, "p", "k").groupBy(F.spark_partition_id()).count()
+    assert ranged.agg(F.max("count")).first()[0] < 3 * 100_000 / 50
 
 
 @pytest.mark.parametrize("n", [1, 3, 9, 10, 11, 25, 100, 103])

@@ -6,7 +6,6 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry_points
-from shelfflow.functions import ordering
 
 FOLDER = "/root/testdata/sf0.001"
 SQL = entry_points.oracle_sql()
@@ -32,10 +31,17 @@ def test_query_equals_sql(spark, con, key):
 
 
 @pytest.mark.parametrize("key", ["abc_classification", "sales_velocity", "prep_batch_keys", "prep_products", "prep_store_weights"])
-def test_ranking_level_by_level_equals_sql(spark, con, key, monkeypatch):
-    """The path for inputs too large for one window, whatever their size here."""
-    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", 0)
-    _, difference = compare(entry_points.queries()[key](spark, FOLDER), con, SQL[key])
+def test_ranking_in_many_ranges_equals_sql(spark, con, key):
+    """Many ranges instead of the few of a small session."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        _, difference = compare(entry_points.queries()[key](spark, FOLDER), con, SQL[key])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert difference == ""
 
 

@@ -3,6 +3,8 @@
 from datetime import date
 from decimal import Decimal as D
 
+import pytest
+
 from shelfflow.operators import prep
 from shelfflow.operators.prep import CATEGORY_RULES
 
@@ -58,6 +60,22 @@ def test_opening_batch_keys_ignore_the_day(shop):
     assert ids == {"PO-1": 1, "PO-2": 1, "PO-3": 2, "PO-4": 3, "PO-6": 4, "PO-5": 5}
 
 
+@pytest.mark.parametrize("partitions", ["1", "50"])
+def test_batch_keys_with_nulls(spark, partitions):
+    """NULL store, supplier and day are values of their own and come first, however many ranges there are."""
+    lines = [(s, v, day) for s in (None, 1) for v in (None, 7, 8) for day in (None, date(2025, 1, 1), date(2025, 1, 2))]
+    columns = "store_id int, supplier_id int, actual_delivery_date date"
+    po = spark.createDataFrame(lines * 2, columns)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = prep.assign_batch_keys(po).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got) == len(lines) * 2
+    assert {tuple(r[:3]): r.batch_id for r in got} == {line: n for n, line in enumerate(lines, 1)}
+
+
 def test_receipts_and_opening_stock(shop, rows_of):
     receipts = rows_of(prep.daily_receipts(shop["purchase_orders"]))
     assert {(r["sku_id"], r["quantity_received"]) for r in receipts} == {(1, 10), (2, 10), (3, 5), (4, 8)}
