@@ -12,13 +12,21 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-from oracle import oracle_sql  # noqa: E402, F401
+import oracle  # noqa: E402
 from shelfflow.operators import facts, features, fifo, kpis, prep, quality, reorder, stores  # noqa: E402
 from shelfflow.plans import demand  # noqa: E402
 from shelfflow.schemas import Params  # noqa: E402
 from shelfflow.sources.benchmark_tables import load_tables, product_feed  # noqa: E402
 from shelfflow.sources.tables import LazyTables  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from shelfflow.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "shelfflow.llm", "shelfflow.llm.queries"):
+        raise
+    corpus_pipeline = corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 P = Params()
 
@@ -192,9 +200,20 @@ def queries() -> dict[str, Query]:
     registered["prep_products"] = lambda spark, sf_dir: _plain(
         prep.build_products(product_feed(spark, sf_dir), BENCHMARK_RULES)
     )
+    if corpus:
+        registered |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
     return registered
 
 
+def oracle_sql() -> dict[str, str]:
+    sql = oracle.oracle_sql()
+    if corpus:
+        sql |= corpus.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Sales velocity and speed class of every SKU in every store."""
     return queries()["sales_velocity"](spark, "/root/testdata/sf0.001")
