@@ -7,20 +7,84 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfflow.llm import substrings
+from shelfflow.llm import lines, mixing, simhash, substrings
+from shelfflow.sources.staging import stage
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    size = mixing.word_count(F.col("text")).alias("size")
+    docs = stage(read(spark, folder, "documents").select("doc_id", "source", size))
+    return mixing.mix_sources(docs, "size").select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = lines.dedup_lines(read(spark, folder, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = substrings.remove_repeated_windows(read(spark, folder, "documents"), length=35)
     return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicate_groups(read(spark, folder, "documents"), shingle=3, max_bits=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
+    "op5_line_dedup": op5_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": f"""
+        WITH d AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
+        s AS (
+            SELECT source, sum(size)::HUGEINT AS n, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w
+            FROM d GROUP BY source),
+        r AS (
+            SELECT *, sum(n) OVER () AS total,
+                coalesce(sum(3 * n) OVER (ORDER BY n / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+                sum(w) OVER (ORDER BY n / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS parts
+            FROM s),
+        level AS (
+            SELECT (total - capped)::HUGEINT AS words, parts::HUGEINT AS parts FROM r
+            WHERE (total - capped) * w <= 3 * n * parts ORDER BY n / w, source LIMIT 1),
+        goals AS (
+            SELECT source, n, 3 * n * parts < w * words AS clamped,
+                CASE WHEN 3 * n * parts < w * words THEN (3 * n)::DOUBLE ELSE (w * words)::DOUBLE / parts::DOUBLE END AS target,
+                CASE WHEN 3 * n * parts < w * words THEN 3 * n ELSE (2 * w * words + parts) // (2 * parts) END AS goal
+            FROM s, level),
+        p AS (
+            SELECT d.*, g.n, g.target, g.goal, CASE WHEN g.n = 0 THEN 0 ELSE g.goal // g.n END AS whole,
+                coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5('0|' || doc_id), doc_id::VARCHAR
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source)
+        SELECT doc_id, size, n::BIGINT AS source_size, target,
+            (whole * size + greatest(0, least(size, goal - whole * n - before)))::BIGINT AS taken
+        FROM p""",
+    "op5_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i,
+                unnest(string_split(coalesce(text, ''), chr(10))) AS line
+            FROM documents),
+        k AS (
+            SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM l),
+        hot AS (
+            SELECT key, max(doc_id) AS holder FROM k WHERE length(key) >= 20
+            GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        t AS (SELECT k.*, hot.key IS NOT NULL AND k.doc_id <> hot.holder AS lost FROM k LEFT JOIN hot ON k.key = hot.key)
+        SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (lost))::BIGINT AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+        FROM t GROUP BY doc_id""",
+}

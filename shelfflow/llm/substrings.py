@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfflow.llm import packed
-from shelfflow.llm.text import byte_sums, flat, lowest, sliced, span_hashes, window_hashes, window_starts, words
+from shelfflow.llm.text import byte_sums, flat, lowest, mix, sliced, span_hashes, window_hashes, window_starts, words
 
 
 def level_lengths(length: int, base: int) -> list[int]:
@@ -56,7 +56,8 @@ class _Windows:
         hashes = window_hashes(self.words, level)
         if level == self.length:
             return self.starts, hashes
-        return lowest(hashes, self.length - level + 1)[self.starts], hashes
+        # The chosen hashes are low ones: mixed again, they spread over the buckets.
+        return lowest(hashes, self.length - level + 1)[self.starts], mix(hashes)
 
     def keep(self, chosen: np.ndarray) -> None:
         self.starts = self.starts[chosen]
