@@ -11,7 +11,7 @@ import duckdb
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = "region nation customer supplier part orders lineitem documents benchmark labels conversations".split()
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
