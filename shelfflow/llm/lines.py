@@ -12,7 +12,7 @@ except in the document with the largest id that has the key.
    counts documents and finds the largest id, with sums formed before the shuffle.
 3. The verdicts go back to the documents by id, and each text is written without its dropped lines.
 
-The filters have ``BITS_PER_LINE`` bits per line of the input, at most ``max_filter_bits``: what is broadcast is
+The filters have 16 bits per line of the input, at most ``max_filter_bits``: what is broadcast is
 bounded by that parameter. Beyond it more lines are suspected and shuffled, with the same result.
 
 Defined cases: a NULL or empty text is one empty line; NULL becomes empty. Rows with the same id are one
@@ -33,12 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfflow.llm import bloom
+from shelfflow.llm.bloom import Filter
 from shelfflow.llm.text import SEPARATORS, U64
 
-BITS_PER_LINE = 16
-BLOCK_BITS = 1 << 19
-PROBES = 4
-
 
 def line_key(line: bytes, min_chars: int) -> bytes | None:
     """The key of a line, or None if it is too short to count."""
@@ -52,33 +50,9 @@ def _key_hash(key: bytes) -> int:
     return xxhash.xxh3_64_intdigest(key)
 
 
-class Filter:
-    """A Bloom filter whose bits of one key all lie in one block."""
-
-    def __init__(self, blocks: int, data: np.ndarray | None = None):
-        self.blocks = blocks
-        self.data = np.zeros(blocks * BLOCK_BITS // 8, np.uint8) if data is None else data
-
-    def _bits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        block = ((hashes >> U64(32)) * U64(self.blocks)) >> U64(32)
-        step = (hashes >> U64(19)) | U64(1)
-        inside = (hashes[:, None] + step[:, None] * np.arange(PROBES, dtype=U64)) % U64(BLOCK_BITS)
-        bits = block[:, None] * U64(BLOCK_BITS) + inside
-        return (bits >> U64(3)).astype(np.int64), np.uint8(1) << (bits & U64(7)).astype(np.uint8)
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        byte, bit = self._bits(hashes)
-        return ((self.data[byte] & bit) != 0).all(axis=1)
-
-    def add(self, hashes: np.ndarray) -> None:
-        byte, bit = self._bits(hashes)
-        np.bitwise_or.at(self.data, byte.ravel(), bit.ravel())
-
-
 def _filter_blocks(docs: DataFrame, max_filter_bits: int) -> int:
     lines = docs.agg(F.sum(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)).first()[0] or 0
-    wanted = min(lines * BITS_PER_LINE, max_filter_bits)
-    return max(1, -(-wanted // BLOCK_BITS))
+    return bloom.block_count(lines, max_filter_bits)
 
 
 def _local_filters(blocks: int, min_chars: int):
@@ -90,44 +64,11 @@ def _local_filters(blocks: int, min_chars: int):
                 distinct, counts = np.unique(np.array(hashes, U64), return_counts=True)
                 twice.add(distinct[(counts > 1) | once.has(distinct)])
                 once.add(distinct)
-        size = BLOCK_BITS // 8
-        for b in range(blocks):
-            part = slice(b * size, (b + 1) * size)
-            if once.data[part].any():
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "block": pa.array([b], pa.int32()),
-                        "once": pa.array([once.data[part].tobytes()], pa.binary()),
-                        "twice": pa.array([twice.data[part].tobytes()], pa.binary()),
-                    }
-                )
+        yield from bloom.blocks_of(once, twice)
 
     return build
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merge the rows of each block, which follow one another; one block is held at a time."""
-    block, once, twice = None, None, None
-
-    def done():
-        return pa.RecordBatch.from_pydict(
-            {"block": pa.array([block], pa.int32()), "twice": pa.array([twice.tobytes()], pa.binary())}
-        )
-
-    for batch in batches:
-        for b, o, t in zip(*(batch.column(c) for c in ("block", "once", "twice"))):
-            o, t = np.frombuffer(o.as_buffer(), np.uint8), np.frombuffer(t.as_buffer(), np.uint8)
-            if b.as_py() != block:
-                if block is not None:
-                    yield done()
-                block, once, twice = b.as_py(), o.copy(), t.copy()
-            else:
-                twice |= t | (once & o)
-                once |= o
-    if block is not None:
-        yield done()
-
-
 def _keys_of(batch: pa.RecordBatch, min_chars: int) -> Iterator[tuple[int, set[bytes]]]:
     """The row number and the distinct keys of each row that has any."""
     for n, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
@@ -138,19 +79,8 @@ def _keys_of(batch: pa.RecordBatch, min_chars: int) -> Iterator[tuple[int, set[b
 
 
 def _twice_filter(docs: DataFrame, blocks: int, min_chars: int) -> np.ndarray:
-    """The merged twice-filter; its size is bounded by the number of blocks."""
-    merged = (
-        docs.select("text")
-        .mapInArrow(_local_filters(blocks, min_chars), "block int, once binary, twice binary")
-        .repartition("block")
-        .sortWithinPartitions("block")
-        .mapInArrow(_merged, "block int, twice binary")
-    )
-    size = BLOCK_BITS // 8
-    data = np.zeros(blocks * size, np.uint8)
-    for row in merged.toLocalIterator():
-        data[row.block * size : (row.block + 1) * size] = np.frombuffer(row.twice, np.uint8)
-    return data
+    local = docs.select("text").mapInArrow(_local_filters(blocks, min_chars), bloom.LOCAL)
+    return bloom.gather(local, blocks, "twice")
 
 
 def dedup_lines(

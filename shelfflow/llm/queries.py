@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfflow.llm import lines, mixing, simhash, substrings
+from shelfflow.llm import decontaminate, lines, mixing, simhash, substrings
 from shelfflow.sources.staging import stage
 
 
@@ -31,6 +31,11 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contained_items(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_shingles", "n_shared")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicate_groups(read(spark, folder, "documents"), shingle=3, max_bits=2)
 
@@ -39,11 +44,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op5_line_dedup": op5_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+LOWER_WORDS = WORDS.replace(
+    "coalesce(text, '')",
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+)
+SHINGLES = """CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[x : x + 4], ' ') FOR x IN range(1, len(w) - 3)] END"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": f"""
         WITH d AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
@@ -87,4 +100,13 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (lost))::BIGINT AS n_dropped,
             sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
         FROM t GROUP BY doc_id""",
+    "op9_benchmark_decontamination": f"""
+        WITH d AS (SELECT doc_id AS id, {SHINGLES} AS s FROM (SELECT doc_id, {LOWER_WORDS} AS w FROM documents)),
+        i AS (SELECT item_id AS id, {SHINGLES} AS s FROM (SELECT item_id, {LOWER_WORDS} AS w FROM benchmark)),
+        ds AS (SELECT DISTINCT id, unnest(s) AS s FROM d),
+        bs AS (SELECT DISTINCT id, unnest(s) AS s FROM i),
+        n AS (SELECT id, count(*) AS n_shingles FROM bs GROUP BY id),
+        shared AS (SELECT ds.id AS doc_id, bs.id AS item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY ALL)
+        SELECT doc_id, item_id, n_shingles, n_shared FROM shared JOIN n ON n.id = item_id
+        WHERE n_shared >= 0.8 * n_shingles""",
 }
