@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfflow.llm import decontaminate, lines, mixing, simhash, substrings
+from shelfflow.llm import decontaminate, language, lines, mixing, simhash, substrings
 from shelfflow.sources.staging import stage
 
 
@@ -15,6 +15,11 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     size = mixing.word_count(F.col("text")).alias("size")
     docs = stage(read(spark, folder, "documents").select("doc_id", "source", size))
@@ -41,6 +46,7 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op5_line_dedup": op5_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
