@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfflow.llm import decontaminate, language, lines, mixing, simhash, substrings
+from shelfflow.llm import decontaminate, language, lines, mixing, quality, simhash, substrings
 from shelfflow.sources.staging import stage
 
 
@@ -26,6 +26,11 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(docs, "size").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return quality.apply_quality_rules(docs, read(spark, folder, "labels")).drop("text")
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = lines.dedup_lines(read(spark, folder, "documents").select("doc_id", "text"))
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -48,6 +53,7 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
+    "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
