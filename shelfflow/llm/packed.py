@@ -101,20 +101,28 @@ def totals(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarr
     return [len(a) for a in arrays], keys, counts, place
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """Booleans as bits, numbers compressed."""
+    return np.packbits(values).tobytes() if values.dtype == bool else pa.compress(values.tobytes(), "zstd", asbytes=True)
+
+
 def answer(sent: DataFrame, reply: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """Per chunk the answers of all buckets: ``reply(keys, counts)`` gives one array entry per key.
 
-    Boolean answers travel as bits. The bucket's keys pass ``reply`` once, whatever their chunks.
+    The bucket's keys pass ``reply`` once, whatever their chunks.
     """
 
     def of_bucket(table: pa.Table) -> pa.Table:
         sizes, keys, counts, place = totals(table)
         found = reply(keys, counts)[place]
         parts = np.split(found, np.cumsum(sizes)[:-1])
-        sent_back = [np.packbits(p).tobytes() if p.dtype == bool else p.tobytes() for p in parts]
-        return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "answer": pa.array(sent_back, pa.binary())})
+        sent_back = pa.array([squeeze(p) for p in parts], pa.binary())
+        return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "answer": sent_back})
+
+    return per_chunk(sent.groupBy("bucket").applyInArrow(of_bucket, "chunk long, bucket int, answer binary"))
+
 
-    answers = sent.groupBy("bucket").applyInArrow(of_bucket, "chunk long, bucket int, answer binary")
+def per_chunk(answers: DataFrame) -> DataFrame:
     return answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))
 
 
@@ -135,8 +143,11 @@ def receive(answers: list[dict] | None, keys: np.ndarray, buckets: int, kind: ty
     for part in answers or []:
         b = part["bucket"]
         n = cut[b + 1] - cut[b]
-        got = np.frombuffer(part["answer"], np.uint8 if kind is bool else kind)
-        out[cut[b] : cut[b + 1]] = np.unpackbits(got, count=n) if kind is bool else got
+        if kind is bool:
+            out[cut[b] : cut[b + 1]] = np.unpackbits(np.frombuffer(part["answer"], np.uint8), count=n)
+        else:
+            size = int(n) * np.dtype(kind).itemsize
+            out[cut[b] : cut[b + 1]] = np.frombuffer(pa.decompress(part["answer"], size, "zstd"), kind)
     return out
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfflow.llm import chat, decontaminate, language, lines, mixing, quality, simhash, substrings
+from shelfflow.llm import chat, decontaminate, language, lines, lm, mixing, quality, simhash, substrings
 from shelfflow.sources.staging import stage
 
 
@@ -15,6 +15,10 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_texts(read(spark, folder, "documents"))
+
+
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
     return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
@@ -64,6 +68,7 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op4_quality_rules": op4_quality_rules,
