@@ -11,6 +11,7 @@ The number of buckets follows the corpus, so a bucket keeps its size. Nothing pa
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfflow.llm.text import U64, flat, sliced
-from shelfflow.sources.staging import stage
+from shelfflow.sources.staging import run_folder, stage
 
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
@@ -39,8 +40,8 @@ def unpack_batch(payload: bytes) -> pa.RecordBatch:
         return stream.read_next_batch()
 
 
-def chunks(df: DataFrame, text: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Stage the rows as chunks: ``chunk``, ``size`` (bytes of text), ``payload``."""
+def chunks(df: DataFrame, text: str, chunk_bytes: int = CHUNK_BYTES, parts: int = 0) -> DataFrame:
+    """Stage the rows as chunks: ``chunk``, ``size`` (bytes of text), ``payload``; co-located if ``parts`` are given."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 40
@@ -50,7 +51,21 @@ def chunks(df: DataFrame, text: str, chunk_bytes: int = CHUNK_BYTES) -> DataFram
                 {"chunk": [task + n], "size": [size], "payload": pa.array([pack_batch(part)], pa.binary())}
             )
 
-    return stage(df.mapInArrow(pack, "chunk long, size long, payload binary"))
+    packed_up = df.mapInArrow(pack, "chunk long, size long, payload binary")
+    return co_located(packed_up, parts, shuffle=True) if parts else stage(packed_up)
+
+
+def co_located(df: DataFrame, parts: int, shuffle: bool = False) -> DataFrame:
+    """Keep the frame as a table bucketed by ``chunk``: later joins by chunk move only the other side.
+
+    The files lie in the run's folder; ``shuffle`` deals the rows out first, if they aren't yet.
+    """
+    spark = df.sparkSession
+    name = f"shelfflow_{uuid.uuid4().hex}"
+    dealt = df.repartition(parts, "chunk") if shuffle else df
+    path = f"{run_folder(spark)}/{name}"
+    dealt.write.bucketBy(parts, "chunk").option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
 
 
 def bucket_count(staged: DataFrame, bytes_per_text_byte: float) -> int:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfflow.llm import chat, decontaminate, language, lines, lm, mixing, quality, simhash, substrings
+from shelfflow.llm import chat, decontaminate, language, lines, lm, mixing, quality, simhash, substrings, suffixes
 from shelfflow.sources.staging import stage
 
 
@@ -53,6 +53,11 @@ def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest(turns).withColumnRenamed("conversation", "conv_id")
 
 
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = suffixes.remove_repeated_strings(read(spark, folder, "documents"), length=400)
+    return docs.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = substrings.remove_repeated_windows(read(spark, folder, "documents"), length=35)
     return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
