@@ -6,7 +6,8 @@ import os
 import sys
 from collections.abc import Callable
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -195,13 +196,25 @@ def _on_tables(operator: Callable[[LazyTables], DataFrame]) -> Query:
     return lambda spark, sf_dir: _plain(operator(load_tables(spark, sf_dir)))
 
 
+def _importable(query: Query) -> Query:
+    """Python workers started from here on find the library as this process does, wherever it was started."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        environment = spark.sparkContext.environment
+        paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *[p for p in paths if p and p != ROOT]])
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     registered = {name: _on_tables(operator) for name, operator in ON_TABLES.items()}
     registered["prep_products"] = lambda spark, sf_dir: _plain(
         prep.build_products(product_feed(spark, sf_dir), BENCHMARK_RULES)
     )
     if corpus:
-        registered |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+        registered |= {name: _importable(q) for name, q in {**corpus.QUERIES, "pipeline": corpus_pipeline.run}.items()}
     return registered
 
 
