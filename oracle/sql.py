@@ -39,11 +39,9 @@ def cents(x: str) -> str:
 
 CTES: dict[str, str] = {
     "inv_parts": """
-        SELECT p_partkey // 20 AS sku_id, arg_min(p_name, p_partkey) AS sku_name,
-               arg_min(p_type, p_partkey) AS category,
-               arg_min(CAST(round(p_retailprice * 100) AS BIGINT), p_partkey) AS c,
-               arg_min(p_size, p_partkey) AS size
-        FROM part GROUP BY 1""",
+        SELECT p_partkey AS sku_id, p_name AS sku_name, p_type AS category,
+               CAST(round(p_retailprice * 100) AS BIGINT) AS c, p_size AS size
+        FROM part""",
     "inv_products": """
         SELECT sku_id, sku_name, category, CAST(c AS DECIMAL(18,2)) / 100 AS mrp_raw,
                CAST(c * 0.01 AS DECIMAL(10,2)) AS mrp,
@@ -67,17 +65,15 @@ CTES: dict[str, str] = {
                CASE WHEN o_orderstatus = 'F' THEN 10 + o_orderkey % 36 END AS minutes
         FROM orders JOIN inv_customers ON o_custkey = customer_id""",
     "inv_items": """
-        SELECT CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                    CAST(l_quantity AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT),
-                    CAST(CAST(l_shipdate AS DATE) AS VARCHAR))), 1, 15) AS BIGINT) AS order_item_id,
+        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS order_item_id,
                l_orderkey AS order_id, sku_id, CAST(l_quantity AS BIGINT) AS quantity,
                CAST(((c * (100 - CAST(round(l_discount * 100) AS BIGINT))) // 100) * 0.01 AS DECIMAL(10,2)) AS price
-        FROM lineitem JOIN inv_parts ON l_partkey // 20 = sku_id
+        FROM lineitem JOIN inv_parts ON l_partkey = sku_id
         WHERE l_linestatus = 'F'""",
     "inv_lines": """
         SELECT *, date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) % 120 AS k,
                CASE WHEN (7 * l_orderkey + 3 * l_partkey + l_linenumber) % 20 < 3 THEN 1 + l_orderkey % 3 ELSE 0 END AS late
-        FROM lineitem JOIN inv_parts ON l_partkey // 20 = sku_id JOIN inv_suppliers ON l_suppkey = supplier_id
+        FROM lineitem JOIN inv_parts ON l_partkey = sku_id JOIN inv_suppliers ON l_suppkey = supplier_id
         WHERE l_linestatus = 'O'""",
     "inv_po": """
         SELECT supplier_id * 128 + k AS batch_id, concat_ws('-', 'PO', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS po_line_id,
@@ -316,7 +312,7 @@ FEATURES = (
     "sales_lag_28 i, rolling_7day_avg f, rolling_7day_stddev f, category s, zone s, capacity_units i, unit_cost f, mrp f, "
     "target_sold_qty i"
 )
-ALLOCATION = "order_item_id i, order_id i, store_id i, sku_id i, order_date s, quantity i, batch_id i, batches_used i"
+ALLOCATION = "order_item_id s, order_id i, store_id i, sku_id i, order_date s, quantity i, batch_id i, batches_used i"
 TYPES = {"i": "BIGINT", "f": "DOUBLE", "s": "VARCHAR", "b": "BOOLEAN"}
 
 # key -> (output columns with their type, select)
@@ -472,7 +468,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     "fifo_batch": (ALLOCATION, "SELECT * FROM inv_fifo"),
     "fifo_noexpiry": (ALLOCATION, "SELECT * FROM inv_fifo_plain"),
     "fifo_anomalies": (
-        "order_item_id i, order_id i, store_id i, sku_id i, order_date s, quantity i",
+        "order_item_id s, order_id i, store_id i, sku_id i, order_date s, quantity i",
         "SELECT * FROM inv_fifo WHERE batch_id IS NULL",
     ),
     "fifo_summary": (

@@ -70,26 +70,42 @@ def date_spine(spark, start: date, end: date) -> DataFrame:
     return spark.range(1).select(F.explode(calendar(start, end)).alias("snapshot_date"))
 
 
+def _aligned(listed: Column, days: Column) -> Column:
+    """Quantities by place in the calendar as one array with an entry for every day, 0 where nothing is listed.
+
+    Each entry brings the zeros since the one before it, so the array is built in one pass.
+    """
+    places = F.transform(listed, lambda x: x["_place"])
+    before = F.slice(F.concat(F.array(F.lit(0).cast("long")), places), 1, F.size(listed))
+    none = F.lit(0).cast("long")
+
+    def with_gap(x: Column, last: Column) -> Column:
+        return F.concat(F.array_repeat(none, (x["_place"] - last - 1).cast("int")), F.array(x["sold_qty"].cast("long")))
+
+    rest = F.array_repeat(none, (days - F.coalesce(F.array_max(places), F.lit(0))).cast("int"))
+    return F.concat(F.flatten(F.zip_with(listed, before, with_gap)), rest)
+
+
 def forecast_base(
     stores: DataFrame, products: DataFrame, sold: DataFrame, days: Column, statics: bool = False
 ) -> DataFrame:
     """Units sold for every store, SKU and day of ``days``, 0 where nothing sold.
 
-    The sales of a store and SKU travel as one map of at most a calendar's days, join the pair
-    once, and the days unfold afterwards. Only pairs are shuffled, not the far larger grid, and
+    The sales of a store and SKU on those days travel as one array of the calendar's days, join the pair
+    once, and the days unfold beside it. Only pairs are shuffled, not the far larger grid, and
     the grid comes out laid out by store and SKU as the windows need it.
     """
     store_columns = ["store_id", *(STORE_STATICS if statics else [])]
     sku_columns = ["sku_id", *(SKU_STATICS if statics else [])]
-    by_pair = sold.groupBy(*CELL).agg(
-        F.map_from_entries(F.collect_list(F.struct("snapshot_date", "sold_qty"))).alias("_sold")
-    )
+    place = F.array_position(days, F.col("snapshot_date"))
+    on_calendar = sold.withColumn("_place", place).filter(F.col("_place") > 0)
+    listed = F.sort_array(F.collect_list(F.struct("_place", "sold_qty")))
+    by_pair = on_calendar.groupBy(*CELL).agg(_aligned(listed, F.size(days)).alias("_sold"))
     pairs = store_sku_pairs(stores.select(*store_columns), products.select(*sku_columns))
     return (
         pairs.join(by_pair, CELL, "left")
-        .withColumn("snapshot_date", F.explode(days))
-        .withColumn("sold_qty", F.coalesce(F.try_element_at("_sold", F.col("snapshot_date")), F.lit(0)))
-        .drop("_sold")
+        .withColumns({"_days": days, "_sold": F.coalesce("_sold", F.array_repeat(F.lit(0).cast("long"), F.size(days)))})
+        .select(*sku_columns, *store_columns, F.inline(F.arrays_zip("_days", "_sold")).alias("snapshot_date", "sold_qty"))
     )
 
 

@@ -144,14 +144,18 @@ def opening_stock(po: DataFrame, stores: DataFrame, products: DataFrame, day: da
     )
 
 
-def store_sku_pairs(stores: DataFrame, products: DataFrame) -> DataFrame:
+def store_sku_pairs(stores: DataFrame, products: DataFrame, per_bucket: int = 1000) -> DataFrame:
     """Every store with every SKU: the full grid is the wanted result.
 
-    Each product row unfolds the list of stores, so the grid is generated in place and no rows are
-    paired by a join. The list is the store dimension, one short row per store.
+    Stores lie in buckets of about ``per_bucket``. Each product row takes every bucket number, then an equi-join on the
+    number pairs it with the stores of that bucket: no list of stores is held anywhere, and no join key
+    has more stores than a bucket.
     """
-    listed = stores.agg(F.collect_list(F.struct(*stores.columns)).alias("stores")).scalar()
-    return products.withColumn("_stores", listed).select(*products.columns, F.inline("_stores"))
+    # The number of stores is one value, whatever their number.
+    buckets = stores.agg(F.ceil(F.count(F.lit(1)) / per_bucket).alias("n")).scalar()
+    dealt = stores.withColumn("_bucket", F.pmod(F.xxhash64("store_id"), F.greatest(buckets, F.lit(1))))
+    numbered = products.withColumn("_bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(buckets, F.lit(1)) - 1)))
+    return numbered.join(dealt, "_bucket").select(*products.columns, *stores.columns)
 
 
 def supplier_multiplicity(product_suppliers: DataFrame) -> DataFrame:
