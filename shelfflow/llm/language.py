@@ -46,24 +46,23 @@ def _letters() -> np.ndarray:
 
 def trigram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Counts of hashed trigrams, a row per text, and the number of letters of each."""
-    joined = " ".join((t or "").lower().replace("\0", " ") + "\0" for t in texts)
+    joined = "\0" + "\0".join((t or "").lower().replace("\0", " ") for t in texts) + "\0"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    row = np.zeros(len(points), np.int64)
-    np.cumsum(points[:-1] == 0, out=row[1:])
-    row = np.minimum(row, len(texts) - 1)
+    row = np.cumsum(points == 0) - 1
     letter = _letters()[points]
     n_letters = np.bincount(row[letter], minlength=len(texts))
+    # One space before, between and after runs of letters; those between texts belong to both.
     kept = letter.copy()
     kept[1:] |= letter[:-1]
-    if len(kept):
-        kept[0] = True
+    kept[0] = True
     points, row, letter = np.where(letter, points, 32)[kept].astype(np.uint64), row[kept], letter[kept]
     if len(points) < 3:
         return np.zeros((len(texts), DIMENSIONS), np.int64), n_letters
     mixed = (points[:-2] * np.uint64(0x9E3779B97F4A7C15) + points[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + points[2:]
     place = ((mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(53)).astype(np.int64)
-    own = (row[1:-1] == row[2:]) & (letter[1:-1] | letter[2:])
-    cells = np.bincount(row[1:-1][own] * DIMENSIONS + place[own], minlength=len(texts) * DIMENSIONS)
+    owner = np.where(letter[1:-1], row[1:-1], row[:-2])
+    own = letter[1:-1] | (row[:-2] == row[2:])
+    cells = np.bincount(owner[own] * DIMENSIONS + place[own], minlength=len(texts) * DIMENSIONS)
     return cells.reshape(len(texts), DIMENSIONS), n_letters
 
 
