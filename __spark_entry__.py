@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import date
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -15,7 +16,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 import oracle  # noqa: E402
 from shelfflow.operators import facts, features, fifo, kpis, prep, quality, reorder, stores  # noqa: E402
-from shelfflow.plans import demand  # noqa: E402
+from shelfflow.plans import demand, exchange  # noqa: E402
 from shelfflow.schemas import Params  # noqa: E402
 from shelfflow.sources.benchmark_tables import load_tables, product_feed  # noqa: E402
 from shelfflow.sources.tables import LazyTables  # noqa: E402
@@ -73,9 +74,9 @@ def _clean(t):
 
 
 def _forecasts(t):
-    """March with the rolling mean as prediction, beside the features the baselines need."""
+    """March with a prediction between the rolling mean and four weeks ago, beside the features the baselines need."""
     test = features.split_by_date(_clean(t), P.split_date)[1]
-    return test.withColumn("predicted_demand", F.col("rolling_7day_avg").cast("decimal(10,4)"))
+    return test.withColumn("predicted_demand", ((F.col("rolling_7day_avg") + F.col("sales_lag_28")) / 2).cast("decimal(10,4)"))
 
 
 def _reorder(t):
@@ -114,6 +115,35 @@ def _expiry(t):
     )
 
 
+def _with_facts(t):
+    """The tables and the facts built from them."""
+    built = {"fact_daily_sales": facts.daily_sales(t), "fact_daily_movement": _movement(t), "fact_wastage_log": _wastage(t)}
+    return t.replaced(**built)
+
+
+def _loaded(name: str, **changed) -> Callable[[LazyTables], DataFrame]:
+    """Base table ``name`` out to CSV and back; timestamps as text."""
+
+    def run(t: LazyTables) -> DataFrame:
+        back = exchange.reloaded(t[name].withColumns({c: F.expr(x) for c, x in changed.items()}), name)
+        stamps = {f.name: F.col(f.name).cast("string") for f in back.schema if isinstance(f.dataType, T.TimestampNTZType)}
+        return back.withColumns(stamps) if stamps else back
+
+    return run
+
+
+def _latin1(t):
+    suppliers = t["suppliers"].withColumn("supplier_name", F.concat(F.lit("Épicerie "), "supplier_name"))
+    return exchange.reloaded(suppliers, "suppliers", "ISO-8859-1")
+
+
+def _loaded_forecasts(t):
+    given = _forecasts(t).withColumn("target_sold_qty", F.col("target_sold_qty").cast("int"))
+    return exchange.reloaded(given, "fact_ml_forecasts")
+
+
+DAILY = "SELECT order_date, sum(total_quantity_sold) AS units, sum(total_revenue) AS revenue FROM {view} GROUP BY order_date"
+
 ON_TABLES: dict[str, Callable[[LazyTables], DataFrame]] = {
     "dq_unique": quality.duplicate_keys,
     "dq_unique_lines": lambda t: quality.check_unique(t["order_items"], ["order_id", "sku_id"]),
@@ -121,6 +151,29 @@ ON_TABLES: dict[str, Callable[[LazyTables], DataFrame]] = {
     "dq_nulls": lambda t: quality.check_not_null(
         t["purchase_orders"], ["batch_id", "actual_delivery_date", "expected_delivery_date"]
     ),
+    "dq_unique_facts": lambda t: quality.duplicate_keys(_with_facts(t)),
+    "dq_unique_repeated": lambda t: quality.duplicate_keys(
+        t, {"order_items": ["order_id"], "purchase_orders": ["batch_id", "actual_delivery_date"]}
+    ),
+    "dq_required": lambda t: quality.required_nulls(_with_facts(t)),
+    **{
+        f"load_{name}": _loaded(name)
+        for name in ("products", "dark_stores", "suppliers", "product_suppliers", "customers", "orders", "purchase_orders")
+    },
+    # The files' item numbers are whole numbers.
+    "load_order_items": _loaded("order_items", order_item_id="order_id"),
+    "load_forecasts": _loaded_forecasts,
+    "load_latin1": _latin1,
+    "load_tsv": lambda t: exchange.through_tsv(t["purchase_orders"]),
+    "write_quoted_csv": lambda t: exchange.through_quoted_csv(facts.daily_sales(t)),
+    "read_pruned": lambda t: t["order_items"].groupBy("order_id").agg(F.sum("quantity").alias("units")),
+    "rebuild_fact": lambda t: exchange.rebuilt(facts.daily_sales(t), "order_date"),
+    "published_view": lambda t: exchange.published(facts.daily_sales(t), DAILY),
+    "prep_order_date": lambda t: prep.with_order_date(t["orders"].drop("order_date")).select("order_id", "order_date"),
+    "prep_opening_batches": lambda t: prep.assign_batch_keys(
+        t["purchase_orders"].filter(F.col("actual_delivery_date") <= F.lit(P.opening_date)).drop("batch_id"), opening=True
+    ).select("po_line_id", "store_id", "supplier_id", "batch_id"),
+    "features_capped": lambda t: features.cap_dates(_clean(t), date(2025, 3, 20), stray=["capacity_units"]),
     "prep_store_weights": lambda t: prep.store_demand_weights(t["dark_stores"], BENCHMARK_TIERS),
     "prep_batch_keys": _batch_keys,
     "prep_daily_receipts": lambda t: prep.daily_receipts(t["purchase_orders"]),

@@ -264,7 +264,7 @@ CTES |= {
         FROM inv_features f JOIN inv_stores s USING (store_id) JOIN inv_products p USING (sku_id)""",
     "inv_clean": "SELECT * FROM inv_feature_rows WHERE sales_lag_28 IS NOT NULL AND rolling_7day_avg IS NOT NULL",
     "inv_forecasts": f"""
-        SELECT store_id, sku_id, snapshot_date, target_sold_qty, CAST(rolling_7day_avg AS DECIMAL(10,4)) AS predicted_demand,
+        SELECT store_id, sku_id, snapshot_date, target_sold_qty, CAST((rolling_7day_avg + sales_lag_28) / 2 AS DECIMAL(10,4)) AS predicted_demand,
                sales_lag_1, sales_lag_7, rolling_7day_avg
         FROM inv_clean WHERE snapshot_date >= {SPLIT}""",
     "inv_sigma": f"""
@@ -313,6 +313,11 @@ FEATURES = (
     "target_sold_qty i"
 )
 ALLOCATION = "order_item_id s, order_id i, store_id i, sku_id i, order_date s, quantity i, batch_id i, batches_used i"
+CAPPED = FEATURES.replace("capacity_units i, ", "")
+DAILY_SALES = (
+    "store_id i, store_name s, order_date s, sku_id i, sku_name s, category s, total_quantity_sold i, total_revenue f, "
+    "total_profit f"
+)
 TYPES = {"i": "BIGINT", "f": "DOUBLE", "s": "VARCHAR", "b": "BOOLEAN"}
 
 # key -> (output columns with their type, select)
@@ -502,6 +507,116 @@ QUERIES: dict[str, tuple[str, str]] = {
                   dense_rank() OVER (ORDER BY store_id, supplier_id, actual) AS batch_id
            FROM inv_po WHERE actual IS NOT NULL""",
     ),
+    "prep_order_date": ("order_id i, order_date s", "SELECT order_id, order_date FROM inv_orders"),
+    "prep_opening_batches": (
+        "po_line_id s, store_id i, supplier_id i, batch_id i",
+        f"""SELECT po_line_id, store_id, supplier_id, dense_rank() OVER (ORDER BY store_id, supplier_id) AS batch_id
+            FROM inv_po WHERE actual <= {OPENING}""",
+    ),
+    "features_capped": (CAPPED, "SELECT * FROM inv_clean WHERE snapshot_date <= DATE '2025-03-20'"),
+    "load_products": (
+        "sku_id i, sku_name s, category s, mrp f, unit_cost f, unit_weight_grams i, is_perishable b, shelf_life_days i, "
+        "demand_weight i",
+        "SELECT p.*, 10 * r.size AS unit_weight_grams FROM inv_products p JOIN inv_parts r ON r.sku_id = p.sku_id",
+    ),
+    "load_dark_stores": (
+        "store_id i, store_name s, city s, zone s, locality s, latitude f, longitude f, capacity_units i, opened_date s",
+        """SELECT *, 'TEST' AS city, store_name AS locality, 0 AS latitude, 0 AS longitude,
+                  DATE '2022-01-01' + CAST(store_id AS INTEGER) AS opened_date FROM inv_stores""",
+    ),
+    "load_suppliers": (
+        "supplier_id i, supplier_name s, city s, avg_lead_time_days i",
+        """SELECT s_suppkey AS supplier_id, s_name AS supplier_name, n_name AS city, lead AS avg_lead_time_days
+           FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN inv_suppliers ON supplier_id = s_suppkey""",
+    ),
+    "load_latin1": (
+        "supplier_id i, supplier_name s, city s, avg_lead_time_days i",
+        """SELECT s_suppkey AS supplier_id, 'Épicerie ' || s_name AS supplier_name, n_name AS city, lead AS avg_lead_time_days
+           FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN inv_suppliers ON supplier_id = s_suppkey""",
+    ),
+    "load_product_suppliers": (
+        "sku_id i, supplier_id i, cost_price f",
+        "SELECT DISTINCT sku_id, supplier_id, cost AS cost_price FROM inv_po",
+    ),
+    "load_customers": (
+        "customer_id i, customer_name s, customer_email s, customer_phone s, zone s, locality s, signup_date s",
+        """SELECT c_custkey AS customer_id, c_name AS customer_name, NULL AS customer_email, NULL AS customer_phone,
+                  'Zone ' || (nation.n_regionkey % 4) AS zone, n_name AS locality,
+                  DATE '2024-01-01' + CAST(c_custkey % 365 AS INTEGER) AS signup_date
+           FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN inv_customers ON customer_id = c_custkey""",
+    ),
+    "load_orders": (
+        "order_id i, customer_id i, store_id i, order_timestamp s, order_status s, delivery_time_mins i, order_date s",
+        """SELECT *, order_date + to_seconds(CAST(second AS BIGINT)) AS order_timestamp, status AS order_status,
+                  minutes AS delivery_time_mins FROM inv_orders""",
+    ),
+    "load_order_items": (
+        "order_item_id i, order_id i, sku_id i, quantity i, unit_price_at_sale f, discount_pct i, batch_id i",
+        """SELECT l_orderkey AS order_item_id, l_orderkey AS order_id, sku_id, CAST(l_quantity AS BIGINT) AS quantity,
+                  ((c * (100 - CAST(round(l_discount * 100) AS BIGINT))) // 100) / 100.0 AS unit_price_at_sale,
+                  CAST(round(l_discount * 100) AS BIGINT) AS discount_pct, NULL AS batch_id
+           FROM lineitem JOIN inv_parts ON l_partkey = sku_id WHERE l_linestatus = 'F'""",
+    ),
+    "load_purchase_orders": (
+        "batch_id i, po_line_id s, store_id i, sku_id i, supplier_id i, order_date s, expected_delivery_date s, "
+        "actual_delivery_date s, quantity_ordered i, cost_price f",
+        """SELECT *, expected AS expected_delivery_date, actual AS actual_delivery_date, quantity AS quantity_ordered,
+                  cost AS cost_price FROM inv_po""",
+    ),
+    "load_tsv": (
+        "batch_id i, po_line_id s, store_id i, sku_id i, supplier_id i, order_date s, expected_delivery_date s, "
+        "actual_delivery_date s, quantity_ordered i, cost_price f",
+        """SELECT *, expected AS expected_delivery_date, actual AS actual_delivery_date, quantity AS quantity_ordered,
+                  cost AS cost_price FROM inv_po""",
+    ),
+    "load_forecasts": (
+        "store_id i, sku_id i, snapshot_date s, target_sold_qty i, predicted_demand f",
+        "SELECT store_id, sku_id, snapshot_date, target_sold_qty, predicted_demand FROM inv_forecasts",
+    ),
+    "write_quoted_csv": (DAILY_SALES, "SELECT * FROM inv_daily_sales"),
+    "rebuild_fact": (DAILY_SALES, "SELECT * FROM inv_daily_sales"),
+    "read_pruned": ("order_id i, units i", "SELECT order_id, sum(quantity) AS units FROM inv_items GROUP BY order_id"),
+    "published_view": (
+        "order_date s, units i, revenue f",
+        """SELECT order_date, sum(total_quantity_sold) AS units, sum(total_revenue) AS revenue
+           FROM inv_daily_sales GROUP BY order_date""",
+    ),
+    "dq_unique_facts": (
+        "table_name s, key_value s, occurrences i",
+        """SELECT * FROM (
+             SELECT 'fact_daily_sales' AS table_name, concat_ws('/', store_id, sku_id, order_date) AS key_value, count(*) AS occurrences
+             FROM inv_daily_sales GROUP BY ALL
+             UNION ALL SELECT 'fact_daily_movement', concat_ws('/', movement_date, store_id, sku_id), count(*) FROM inv_movement GROUP BY ALL
+             UNION ALL SELECT 'fact_wastage_log', concat_ws('/', batch_id, store_id, sku_id), count(*) FROM inv_wastage GROUP BY ALL)
+           WHERE occurrences > 1""",
+    ),
+    "dq_unique_repeated": (
+        "table_name s, key_value s, occurrences i",
+        """SELECT * FROM (
+             SELECT 'order_items' AS table_name, order_id::VARCHAR AS key_value, count(*) AS occurrences FROM inv_items GROUP BY ALL
+             UNION ALL SELECT 'purchase_orders', batch_id || '/' || coalesce(actual::VARCHAR, 'NULL'), count(*) FROM inv_po GROUP BY ALL)
+           WHERE occurrences > 1""",
+    ),
+    "dq_required": (
+        "table_name s, column s, nulls i",
+        "\nUNION ALL ".join(
+            f"""SELECT '{name}' AS table_name, '{column}' AS "column", count(*) - count({column}) AS nulls FROM {table}"""
+            for name, table, columns in [
+                ("products", "inv_products", "sku_id sku_name"),
+                ("dark_stores", "inv_stores", "store_id"),
+                ("suppliers", "inv_suppliers", "supplier_id"),
+                ("customers", "inv_customers", "customer_id"),
+                ("orders", "inv_orders", "order_id"),
+                ("order_items", "inv_items", "order_item_id"),
+                ("purchase_orders", "inv_po", "po_line_id"),
+                ("product_suppliers", "inv_product_suppliers", "sku_id supplier_id"),
+                ("fact_daily_sales", "inv_daily_sales", "store_id sku_id order_date"),
+                ("fact_daily_movement", "inv_movement", "movement_date store_id sku_id"),
+                ("fact_wastage_log", "inv_wastage", "batch_id store_id sku_id"),
+            ]
+            for column in columns.split()
+        ),
+    ),
     "prep_daily_receipts": (
         "store_id i, sku_id i, actual_delivery_date s, quantity_received i",
         """SELECT store_id, sku_id, actual AS actual_delivery_date, sum(quantity) AS quantity_received

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 from functools import reduce
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfflow.functions.numeric import quotient, rounded_ratio
 from shelfflow.operators.facts import CELL, Tables
 from shelfflow.operators.prep import store_sku_pairs
-from shelfflow.schemas import FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS, Params
+from shelfflow.schemas import FACT_KEYS, FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, SCHEMAS, Params
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,12 +33,12 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, column: str) -> DataF
     return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
-def duplicate_keys(t: Tables) -> DataFrame:
-    """Every repeated primary key of every table: table, key, count."""
+def duplicate_keys(t: Tables, tables: Mapping[str, Sequence[str]] = PRIMARY_KEYS | FACT_KEYS) -> DataFrame:
+    """Every repeated primary key of every table: table, key, count. A NULL in a key is shown as ``NULL``."""
     parts = []
-    for name, keys in PRIMARY_KEYS.items():
+    for name, keys in tables.items():
         if name in t:
-            label = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+            label = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
             parts.append(
                 check_unique(t[name], keys).select(
                     F.lit(name).alias("table_name"), label.alias("key_value"), "occurrences"
@@ -47,6 +47,16 @@ def duplicate_keys(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def required_nulls(t: Tables) -> DataFrame:
+    """NULLs in keys and other required columns of every table: table, column, count."""
+    parts = []
+    for name, keys in (PRIMARY_KEYS | FACT_KEYS).items():
+        if name in t:
+            counted = check_not_null(t[name], [*keys, *NOT_NULL.get(name, [])])
+            parts.append(counted.select(F.lit(name).alias("table_name"), "column", "nulls"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def orphan_counts(t: Tables) -> DataFrame:
     """Rows without a parent, per foreign key."""
     parts = []

@@ -8,25 +8,25 @@ from datetime import date
 
 from pyspark.sql import types as T
 
-# Keys that grow with the number of transactions are 64 bit wide.
+# Columns and types of the tables. Keys that grow with the number of transactions are 64 bit wide.
 _COLUMNS: dict[str, str] = {
-    "products": "sku_id int, sku_name string, category string, mrp money, unit_cost money, "
+    "products": "sku_id int, sku_name string, category string, mrp decimal(10,2), unit_cost decimal(10,2), "
     "unit_weight_grams int, is_perishable boolean, shelf_life_days int, demand_weight int",
     "dark_stores": "store_id int, store_name string, city string, zone string, locality string, "
-    "latitude degrees, longitude degrees, capacity_units int, opened_date date",
+    "latitude decimal(9,6), longitude decimal(9,6), capacity_units int, opened_date date",
     "suppliers": "supplier_id int, supplier_name string, city string, avg_lead_time_days int",
-    "product_suppliers": "sku_id int, supplier_id int, cost_price money",
+    "product_suppliers": "sku_id int, supplier_id int, cost_price decimal(10,2)",
     "customers": "customer_id bigint, customer_name string, customer_email string, customer_phone string, "
     "zone string, locality string, signup_date date",
     "orders": "order_id bigint, customer_id bigint, store_id int, order_timestamp timestamp_ntz, "
     "order_status string, delivery_time_mins int, order_date date",
     "order_items": "order_item_id bigint, order_id bigint, sku_id int, quantity int, "
-    "unit_price_at_sale money, discount_pct int, batch_id bigint",
+    "unit_price_at_sale decimal(10,2), discount_pct int, batch_id bigint",
     "purchase_orders": "batch_id bigint, po_line_id string, store_id int, sku_id int, supplier_id int, "
     "order_date date, expected_delivery_date date, actual_delivery_date date, quantity_ordered int, "
-    "cost_price money",
+    "cost_price decimal(10,2)",
     "fact_ml_forecasts": "store_id int, sku_id int, snapshot_date date, target_sold_qty int, "
-    "predicted_demand units4",
+    "predicted_demand decimal(10,4)",
 }
 
 _TYPES: dict[str, T.DataType] = {
@@ -36,9 +36,9 @@ _TYPES: dict[str, T.DataType] = {
     "boolean": T.BooleanType(),
     "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(),
-    "money": T.DecimalType(10, 2),
-    "degrees": T.DecimalType(9, 6),
-    "units4": T.DecimalType(10, 4),
+    "decimal(10,2)": T.DecimalType(10, 2),
+    "decimal(9,6)": T.DecimalType(9, 6),
+    "decimal(10,4)": T.DecimalType(10, 4),
 }
 
 SCHEMAS: dict[str, T.StructType] = {
@@ -57,6 +57,16 @@ PRIMARY_KEYS: dict[str, list[str]] = {
     "product_suppliers": ["sku_id", "supplier_id"],
 }
 
+# The same for the fact tables that are built.
+FACT_KEYS: dict[str, list[str]] = {
+    "fact_daily_sales": ["store_id", "sku_id", "order_date"],
+    "fact_daily_movement": ["movement_date", "store_id", "sku_id"],
+    "fact_wastage_log": ["batch_id", "store_id", "sku_id"],
+}
+
+# Columns that may not be NULL beside the keys.
+NOT_NULL: dict[str, list[str]] = {"products": ["sku_name"]}
+
 # (child table, column, parent table)
 FOREIGN_KEYS: list[tuple[str, str, str]] = [
     ("product_suppliers", "sku_id", "products"),
