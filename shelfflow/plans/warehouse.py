@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from shelfflow.operators import facts, features, fifo, kpis, reorder, stores
 from shelfflow.schemas import Params
 from shelfflow.sources.files import register_views, write_fact
+from shelfflow.sources.staging import stage
 from shelfflow.sources.tables import LazyTables
 
 # Fact -> the column its files are laid out by.
@@ -14,9 +15,12 @@ FACT_LAYOUT = {"fact_daily_sales": "order_date", "fact_daily_movement": "movemen
 
 
 def allocate_batches(t: LazyTables) -> LazyTables:
-    """The tables with ``order_items.batch_id`` filled in by the allocation."""
+    """The tables with ``order_items.batch_id`` filled in by the allocation.
+
+    The tagged items are written once and read back: what is built on them doesn't allocate again.
+    """
     allocation = fifo.fifo_allocate(t["order_items"], t["orders"], t["purchase_orders"], t["products"])
-    return t.replaced(order_items=fifo.with_batches(t["order_items"], allocation))
+    return t.replaced(order_items=stage(fifo.with_batches(t["order_items"], allocation)))
 
 
 def build_facts(t: LazyTables, p: Params = Params(), folder: str | None = None) -> LazyTables:
