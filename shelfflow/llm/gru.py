@@ -107,10 +107,11 @@ class Network:
         gates, new = np.empty((steps, lanes, 2 * h), np.float32), np.empty((steps, lanes, h), np.float32)
         moved = np.empty((steps, lanes, 3 * h), np.float32)
         rows = self.table[inputs]
-        begins = inputs == 0
+        begins = [np.flatnonzero(row == 0) for row in inputs]
         for t in range(steps):
             np.copyto(before[t], state)
-            before[t][begins[t]] = 0
+            if len(begins[t]):
+                before[t][begins[t]] = 0
             np.matmul(before[t], self.recurrence, out=moved[t])
             gate = gates[t]
             np.add(rows[t, :, : 2 * h], moved[t, :, : 2 * h], out=gate)
@@ -180,7 +181,7 @@ class Network:
         into = np.empty((*inputs.shape, 3 * h), np.float32)
         through = np.empty_like(into)
         carried = np.zeros_like(states[0])
-        begins = inputs == 0
+        begins = [np.flatnonzero(row == 0) for row in inputs]
         turned = np.ascontiguousarray(self.recurrence.T)
         for t in range(len(inputs) - 1, -1, -1):
             carried += slope[t]
@@ -193,7 +194,8 @@ class Network:
             np.multiply(d_new, reset[t], out=passed[:, 2 * h :])
             carried *= update[t]
             carried += passed @ turned
-            carried[begins[t]] = 0
+            if len(begins[t]):
+                carried[begins[t]] = 0
         recurrence += before.reshape(-1, h).T @ through.reshape(-1, 3 * h)
         used = inputs.ravel().astype(np.uint16)
         order = np.argsort(used, kind="stable")
@@ -209,7 +211,7 @@ def _exp_sums(logits: np.ndarray) -> np.ndarray:
     return logits @ np.ones(logits.shape[1], logits.dtype)
 
 
-def score(shape: Shape, flat: np.ndarray, documents: list[np.ndarray], lanes: int = 512) -> np.ndarray:
+def score(shape: Shape, flat: np.ndarray, documents: list[np.ndarray], lanes: int = 256) -> np.ndarray:
     """The natural log probability of each whole document, its end included."""
     dealt, network = Lanes(documents, lanes), Network(shape, flat)
     found = np.zeros(len(dealt.symbols))

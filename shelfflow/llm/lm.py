@@ -32,6 +32,8 @@ from shelfflow.sources.staging import stage
 BUCKETS = 128
 ADDED = 0.1
 SUMMARY = -1
+# Symbols read side by side at a time; two bytes each.
+BATCH_SYMBOLS = 4_000_000
 _LN10 = np.log(10.0)
 
 
@@ -174,6 +176,19 @@ def _documents(batch: pa.RecordBatch, chosen: np.ndarray | None = None) -> list[
     return [values[offsets[i] : offsets[i + 1]] for i in rows]
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """The chunks of a task, some at a time: a long text then has many others beside it."""
+    held, size = [], 0
+    for row in _each(batches):
+        held.append(packed.unpack_batch(row["payload"]))
+        size += len(held[-1].column("symbols").values)
+        if size >= BATCH_SYMBOLS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _training(batch: pa.RecordBatch) -> list[np.ndarray]:
     return _documents(batch, ~batch.column("apart").to_numpy(zero_copy_only=False))
 
@@ -200,8 +215,8 @@ def _trained(encoded: DataFrame, shape: gru.Shape, start: np.ndarray, rate: floa
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, read = gru.Trainer(shape, shared.value, rate), 0
-        for row in _each(batches):
-            read += trainer.learn(_training(packed.unpack_batch(row["payload"])), lanes=512)
+        for held in _together(batches):
+            read += trainer.learn([d for batch in held for d in _training(batch)], lanes=256)
         if read:
             pieces = np.array_split(trainer.flat.astype(np.float64) * read, 16)
             yield sums.partial({**dict(enumerate(pieces)), 16: np.array([read])})
@@ -243,10 +258,13 @@ def score_texts(
     shared = docs.sparkSession.sparkContext.broadcast(_trained(encoded, shape, first, rate))
     train_tokens = vocabulary.tokens
 
+    def scored(held: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        found = gru.score(shape, shared.value, [d for batch in held for d in _documents(batch)])
+        return zip(held, np.split(found, np.cumsum([batch.num_rows for batch in held])[:-1]))
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _each(batches):
-            batch = packed.unpack_batch(row["payload"])
-            found = gru.score(shape, shared.value, _documents(batch)) / _LN10 + batch.column("share").to_numpy()
+        for batch, scores in (pair for held in _together(batches) for pair in scored(held)):
+            found = scores / _LN10 + batch.column("share").to_numpy()
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": batch.column("id"),
