@@ -53,8 +53,18 @@ def _shared_bytes(length: int) -> int:
     return length - 2 * _spread(length) - GRAM
 
 
+def _spans_of(begin: np.ndarray, end: np.ndarray, size: int = 1 << 17) -> list[tuple[int, int]]:
+    """Runs of neighbouring texts of about ``size`` bytes, so that what is in hand stays in the processor's cache."""
+    spans, a = [], 0
+    while a < len(begin):
+        b = max(a + 1, int(np.searchsorted(end, begin[a] + size, "right")))
+        spans.append((a, b))
+        a = b
+    return spans
+
+
 class Anchors:
-    """The anchors of a chunk: ``point``, the strings from ``low`` to ``high`` that belong to it, its phrase, its place."""
+    """The anchors of a chunk: ``point``, the strings from ``low`` to ``high`` that belong to it, its phrase."""
 
     def __init__(self, batch: pa.RecordBatch, length: int):
         self.length = length
@@ -63,30 +73,34 @@ class Anchors:
         long = np.flatnonzero(np.diff(self.offsets) >= length)
         begin, end = self.offsets[:-1][long], self.offsets[1:][long]
         self.sums = byte_sums(self.data)
-        n = len(self.data)
         self.point = self.low = self.high = self.end = np.zeros(0, np.int64)
         self.first = np.zeros(len(long) + 1, np.int64)
         if len(long):
-            _, down = powers(n + 1)
-            grams = mix((self.sums[GRAM:] - self.sums[:-GRAM]) * down[: n - GRAM + 1])
-            counts = end - begin - (GRAM + width - 1) + 1
-            before = np.cumsum(counts) - counts
-            runs = np.arange(counts.sum()) + np.repeat(begin - before, counts)
-            chosen = lowest(grams, width)[runs]
-            new = np.append(True, chosen[1:] != chosen[:-1])
-            new[before] = True
-            at = np.flatnonzero(new)
-            self.point, self.low = chosen[at], runs[at]
-            text = np.searchsorted(before, at, "right") - 1
-            self.high = np.minimum(runs[np.append(at[1:], len(runs)) - 1], end[text] - length)
-            self.first = np.searchsorted(text, np.arange(len(long) + 1))
+            parts = [self._chosen(begin[a:b], end[a:b], width) for a, b in _spans_of(begin, end)]
+            self.point, self.low, last, counts = (np.concatenate(x) for x in zip(*parts))
+            text = np.repeat(np.arange(len(long)), counts)
+            self.high = np.minimum(last, end[text] - length)
+            self.first = np.concatenate([[0], np.cumsum(counts)])
             self.end = np.append(self.point[1:], 0)
             self.end[self.first[1:] - 1] = end
-        self.place = np.arange(len(self.point)) - np.repeat(self.first[:-1], np.diff(self.first))
-        self.left = np.repeat(self.first[1:], np.diff(self.first)) - np.arange(len(self.point))
         self.phrase = (span_hashes(self.sums, self.point, self.end) >> U64(32)).astype(np.uint32) | np.uint32(1)
         self.owner = self.high >= self.low
 
+    def _chosen(self, begin: np.ndarray, end: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+        """Of neighbouring texts: the anchors, the first and last run that names each, and their number in each text."""
+        lo, hi = begin[0], end[-1]
+        sums, (_, down) = self.sums[lo : hi + 1], powers(len(self.sums))
+        grams = mix((sums[GRAM:] - sums[:-GRAM]) * down[lo : hi - GRAM + 1])
+        counts = end - begin - (GRAM + width - 1) + 1
+        before = np.cumsum(counts) - counts
+        runs = np.arange(counts.sum()) + np.repeat(begin - lo - before, counts)
+        chosen = lowest(grams, width)[runs]
+        new = np.append(True, chosen[1:] != chosen[:-1])
+        new[before] = True
+        at = np.flatnonzero(new)
+        per_text = np.diff(np.searchsorted(at, np.append(before, len(runs))))
+        return chosen[at] + lo, runs[at] + lo, runs[np.append(at[1:], len(runs)) - 1] + lo, per_text
+
     def prefix(self, at: np.ndarray, size: int) -> np.ndarray:
         """32-bit hashes of the first bytes after the anchors."""
         return (span_hashes(self.sums, self.point[at], self.point[at] + size) >> U64(32)).astype(np.uint32)
@@ -106,6 +120,8 @@ class Anchors:
 
 def _ahead(values: np.ndarray, left: np.ndarray, steps: int) -> np.ndarray:
     """The value some places further on, 0 beyond the text's end."""
+    if steps == 0:
+        return values
     out = np.zeros_like(values)
     if steps < len(values):
         out[:-steps] = values[steps:]
@@ -129,9 +145,15 @@ def _distinct_rows(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndar
 ROWS = "bucket int, chunk long, size int, rows binary"
 
 
-def _send(chunk: int, bucket: np.ndarray, columns: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
-    """One row per bucket; the bucket numbers rise with the rows."""
-    columns = [*columns, np.minimum(counts, 2).astype(np.uint8)]
+def _send(chunk: int, bucket: np.ndarray, columns: list[np.ndarray], place: np.ndarray, more=False) -> pa.RecordBatch:
+    """One row per bucket, from distinct rows and each original row's place among them.
+
+    The bucket numbers rise with the rows. Beside the columns goes how often the chunk has a row (up to two), and whether ``more``
+    holds for any of them.
+    """
+    marks = np.minimum(np.bincount(place, minlength=len(bucket)), 2).astype(np.uint8)
+    marks[place[np.broadcast_to(more, place.shape)]] |= 4
+    columns = [*columns, marks]
     full, begin = np.unique(bucket, return_index=True)
     ends = np.append(begin[1:], len(bucket))
     rows = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(begin, ends)]
@@ -145,8 +167,8 @@ def _send(chunk: int, bucket: np.ndarray, columns: list[np.ndarray], counts: np.
     )
 
 
-def _gathered(table: pa.Table, kinds: list[type]) -> tuple[list[int], list[np.ndarray], np.ndarray, np.ndarray]:
-    """Of one bucket: rows per chunk, the distinct rows, their counts (up to two), each row's place."""
+def _gathered(table: pa.Table, kinds: list[type]) -> tuple[list[int], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Of one bucket: rows per chunk, the distinct rows, their counts, each row's place, and where ``more`` holds."""
     sizes = table["size"].to_pylist()
     parts: list[list[np.ndarray]] = [[] for _ in [*kinds, np.uint8]]
     for size, data in zip(sizes, table["rows"].to_pylist()):
@@ -154,25 +176,35 @@ def _gathered(table: pa.Table, kinds: list[type]) -> tuple[list[int], list[np.nd
         for held, kind in zip(parts, [*kinds, np.uint8]):
             held.append(np.frombuffer(data, kind, size, at))
             at += size * np.dtype(kind).itemsize
-    *columns, counts = (np.concatenate(p) for p in parts)
+    *columns, marks = (np.concatenate(p) for p in parts)
     distinct, place = _distinct_rows(columns)
-    return sizes, distinct, np.bincount(place, counts, len(distinct[0])), place
+    n = len(distinct[0])
+    return sizes, distinct, np.bincount(place, marks & 3, n), place, np.bincount(place, marks >> 2, n) > 0
 
 
-def _reply(table: pa.Table, sizes: list[int], answers: np.ndarray, place: np.ndarray) -> pa.Table:
-    """Each chunk's answers in the order of its rows."""
+def _reply(table: pa.Table, sizes: list[int], answers: np.ndarray, place: np.ndarray, left_open: int = 0) -> pa.Table:
+    """Each chunk's answers in the order of its rows; ``open`` says once what the bucket leaves open."""
     parts = np.split(answers[place], np.cumsum(sizes)[:-1])
     answer = pa.array([packed.squeeze(p) for p in parts], pa.binary())
-    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "size": table["size"], "answer": answer})
+    still = pa.array([left_open] + [0] * (len(sizes) - 1), pa.int64())
+    return pa.table(
+        {"chunk": table["chunk"], "bucket": table["bucket"], "size": table["size"], "answer": answer, "open": still}
+    )
 
 
-REPLY = "chunk long, bucket int, size int, answer binary"
+REPLY = "chunk long, bucket int, size int, answer binary, open long"
 
 
 def _replies(sent: DataFrame, of_bucket) -> DataFrame:
     """Staged, per chunk."""
     replies = sent.groupBy("bucket").applyInArrow(of_bucket, REPLY)
-    return stage(replies.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "size", "answer"))).alias("answers")))
+    answers = F.sort_array(F.collect_list(F.struct("bucket", "size", "answer"))).alias("answers")
+    return stage(replies.groupBy("chunk").agg(answers, F.sum("open").alias("open")))
+
+
+def _open(replies: DataFrame) -> int:
+    """Names that repeat, don't cover enough and can still be extended."""
+    return replies.agg(F.sum("open")).first()[0] or 0
 
 
 def _received(answers: list[dict] | None, kind: type) -> tuple[np.ndarray, np.ndarray]:
@@ -190,37 +222,39 @@ def _rank_rows(kinds: list[type]):
     """Names of a bucket's rows: twice the rank from 1 on, plus one if the row occurs twice or more."""
 
     def of_bucket(table: pa.Table) -> pa.Table:
-        sizes, distinct, counts, place = _gathered(table, kinds)
+        sizes, _, counts, place, more = _gathered(table, kinds)
         ranks = np.arange(1, len(counts) + 1, dtype=np.uint32) * np.uint32(2) + (counts >= 2)
-        return _reply(table, sizes, ranks.astype(np.uint32), place)
+        return _reply(table, sizes, ranks.astype(np.uint32), place, int((more & (counts >= 2)).sum()))
 
     return of_bucket
 
 
-class _Text:
-    """One chunk with what is known of its phrases so far: names of sampled places, and names within names."""
+class Names:
+    """What is known of the phrases of a chunk: names of sampled places, and names within names."""
 
-    def __init__(self, row: dict, length: int, buckets: int):
-        self.chunk, self.buckets = row["chunk"], buckets
-        self.batch = packed.unpack_batch(row["payload"])
-        self.anchors = a = Anchors(self.batch, length)
-        self.length = length
-        self.sample = np.flatnonzero(a.place % 3 != 0)
-        self.name = np.zeros(len(a.point), U64)
-        self.within = np.zeros(len(a.point), np.uint32)
-        self.twice = np.zeros(len(a.point), bool)
-        reach = a.end.copy()
-        for step in (1, 2):
-            reach = np.maximum(reach, _ahead(a.end, a.left, step))
-        self.covered = reach - a.point
+    def __init__(self, phrase: np.ndarray, span: np.ndarray, first: np.ndarray, length: int, buckets: int):
+        self.phrase, self.enough, self.buckets = phrase, _shared_bytes(length), buckets
+        counts = np.diff(first)
+        self.place = np.arange(len(phrase)) - np.repeat(first[:-1], counts)
+        self.left = np.repeat(first[1:], counts) - np.arange(len(phrase))
+        self.sample = np.flatnonzero(self.place % 3 != 0)
+        self.name = np.zeros(len(phrase), U64)
+        self.within = np.zeros(len(phrase), np.uint32)
+        self.twice = np.zeros(len(phrase), bool)
+        self.short = np.zeros(len(phrase), bool)
+        # Bytes that a place's name covers: three phrases at first.
+        self.covered = span + _ahead(span, self.left, 1) + _ahead(span, self.left, 2)
+
+    def answered(self, row: dict, rounds: int) -> Names:
         if "names" in row:
             self._name(row["names"])
-            for step in range(row["rounds"]):
+            for step in range(rounds):
                 self._refine(row[f"round{step}"], 3 ** (step + 1))
+        return self
 
     def triples(self) -> tuple[list[np.ndarray], np.ndarray]:
-        a = self.anchors
-        return _distinct_rows([_ahead(a.phrase, a.left, k)[self.sample] if k else a.phrase[self.sample] for k in range(3)])
+        """Distinct rows of three phrases for the sampled places."""
+        return _distinct_rows([_ahead(self.phrase, self.left, k)[self.sample] for k in range(3)])
 
     def range_of(self, phrase: np.ndarray) -> np.ndarray:
         return (phrase.astype(U64) * U64(self.buckets) >> U64(32)).astype(np.int64)
@@ -231,39 +265,54 @@ class _Text:
         names = (buckets.astype(U64) << RANK_BITS) | (ranks >> np.uint32(1)).astype(U64)
         self.name[self.sample] = names[place]
         self.twice[self.sample] = (ranks & np.uint32(1)).astype(bool)[place]
-        self.short = np.zeros(len(self.name), bool)
-        self.short[self.sample] = (self.twice & (self.covered < _shared_bytes(self.length)))[self.sample]
-        self.again = self.twice.copy()
+        self.short = self.twice & (self.covered < self.enough)
 
     def names_of_names(self, step: int) -> tuple[list[np.ndarray], np.ndarray]:
-        """Rows of three names each, ``step`` places apart, for the places whose first name was short."""
-        a, columns = self.anchors, []
+        """Distinct rows of three names, ``step`` places apart, for the places whose first name was short."""
+        at = np.flatnonzero(self.short)
+        columns = []
         for k in range(3):
-            for values in (self.name, self.within):
-                columns.append((_ahead(values, a.left, k * step) if k else values)[self.short])
+            there = np.minimum(at + k * step, len(self.name) - 1)
+            inside = self.left[at] > k * step
+            columns += [np.where(inside, values[there], 0).astype(values.dtype) for values in (self.name, self.within)]
         return _distinct_rows(columns)
 
     def _refine(self, answers: list[dict] | None, step: int) -> None:
         _, place = self.names_of_names(step)
         ranks, _ = _received(answers, np.uint32)
+        self.extend(step)
         self.within[self.short] = (ranks >> np.uint32(1))[place]
-        self.again[self.short] = (ranks & np.uint32(1)).astype(bool)[place]
-        a = self.anchors
-        reach = a.point + self.covered
+
+    def extend(self, step: int) -> None:
+        """Names of three names cover what these cover."""
+        at = np.flatnonzero(self.short)
+        total = self.covered[at]
         for k in (1, 2):
-            reach = np.maximum(reach, _ahead(reach, a.left, k * step))
-        self.covered = reach - a.point
+            there = np.minimum(at + k * step, len(self.name) - 1)
+            total = total + np.where(self.left[at] > k * step, self.covered[there], 0)
+        self.covered[at] = total
 
-    def open(self, phrases: int) -> int:
-        """Places whose name, of so many phrases, repeats, doesn't cover enough and can still be extended."""
-        unsure = self.short & self.again & (self.covered < _shared_bytes(self.length))
-        return int((unsure & (self.anchors.left > phrases)).sum())
+    def unsure(self, at: np.ndarray, phrases: int) -> np.ndarray:
+        """Whether the names of these places, of so many phrases, must be named again if they repeat."""
+        return (self.covered[at] < self.enough) & (self.left[at] > phrases)
+
+    def range_of(self, phrase: np.ndarray) -> np.ndarray:
+        return (phrase.astype(U64) * U64(self.buckets) >> U64(32)).astype(np.int64)
+
+
+class _Text:
+    """A chunk's texts with their anchors and names."""
+
+    def __init__(self, row: dict, length: int, buckets: int, rounds: int):
+        self.chunk, self.length = row["chunk"], length
+        self.batch = packed.unpack_batch(row["payload"])
+        self.anchors = a = Anchors(self.batch, length)
+        self.names = Names(a.phrase, a.end - a.point, a.first, length, buckets).answered(row, rounds)
 
     def candidates(self) -> np.ndarray:
         """Anchors of strings with a repeated name within two places."""
-        a = self.anchors
-        near = self.twice | _ahead(self.twice, a.left, 1) | _ahead(self.twice, a.left, 2)
-        return np.flatnonzero(a.owner & near)
+        twice, left = self.names.twice, self.names.left
+        return np.flatnonzero(self.anchors.owner & (twice | _ahead(twice, left, 1) | _ahead(twice, left, 2)))
 
     def suffixes(self) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """Merge rows of the candidates, each one's place among them, and the candidates.
@@ -271,12 +320,12 @@ class _Text:
         A row has the place modulo 3, one or two phrases, the name after them, and one more name: that of the suffix itself in
         the sample, that two places on outside of it; then the hashes of its first bytes and its surroundings.
         """
-        a, at = self.anchors, self.candidates()
-        kind = (a.place[at] % 3).astype(np.uint8)
-        names = [(self.name, self.within)] + [(_ahead(self.name, a.left, k), _ahead(self.within, a.left, k)) for k in (1, 2)]
-        after = [np.where(kind == 2, two[at], one[at]) for one, two in zip(names[1], names[2])]
-        other = [np.where(kind == 0, two[at], own[at]) for own, two in zip(names[0], names[2])]
-        second = np.where(kind == 1, np.uint32(0), _ahead(a.phrase, a.left, 1)[at])
+        a, n, at = self.anchors, self.names, self.candidates()
+        kind = (n.place[at] % 3).astype(np.uint8)
+        names = [[_ahead(values, n.left, k)[at] for values in (n.name, n.within)] for k in range(3)]
+        after = [np.where(kind == 2, two, one) for one, two in zip(names[1], names[2])]
+        other = [np.where(kind == 0, two, own) for own, two in zip(names[0], names[2])]
+        second = np.where(kind == 1, np.uint32(0), _ahead(n.phrase, n.left, 1)[at])
         columns = [a.phrase[at], kind, second, *after, *other, a.prefix(at, _shared_bytes(self.length)), a.surroundings(at)]
         return *_distinct_rows(columns), at
 
@@ -309,7 +358,7 @@ def _merged_order(first, kind, second, after, other) -> np.ndarray:
 
 def _judge(table: pa.Table) -> pa.Table:
     """Merge a range of suffixes, compare neighbours, and say of each whether all, some or none of its strings may repeat."""
-    sizes, distinct, counts, place = _gathered(table, SUFFIX)
+    sizes, distinct, counts, place, _ = _gathered(table, SUFFIX)
     first, kind, second, after, after_in, other, other_in, prefix, around = distinct
     before = _merged_order(first, kind, second, (after, after_in), (other, other_in))
     order = np.argsort(before, kind="stable")
@@ -335,48 +384,65 @@ def remove_repeated_strings(
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(least, total // (8 << 20) + 1)
     buckets = max(least, total // (32 << 20) + 1)
-    known = packed.chunks(rows, "text", CHUNK_BYTES, parts).drop("size")
+    texts = packed.chunks(rows, "text", CHUNK_BYTES, parts).drop("size")
 
-    def over(frame: DataFrame, step, schema: str, rounds: int = 0) -> DataFrame:
-        """Apply a function of one chunk's text and answers."""
+    def each(frame: DataFrame, step, schema: str) -> DataFrame:
+        """Apply a function to one chunk after another."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for n in range(batch.num_rows):
-                    row = batch.slice(n, 1).to_pylist()[0] | {"rounds": rounds}
-                    yield step(_Text(row, length, buckets), row)
+                    yield step(batch.slice(n, 1).to_pylist()[0])
 
         return frame.mapInArrow(run, schema)
 
-    def send_triples(text: _Text, row: dict) -> pa.RecordBatch:
-        columns, place = text.triples()
-        return _send(text.chunk, text.range_of(columns[0]), columns, np.bincount(place))
+    def parse(row: dict) -> pa.RecordBatch:
+        a = Anchors(packed.unpack_batch(row["payload"]), length)
+        arrays = [a.phrase, (a.end - a.point).astype(np.uint32), a.first.astype(np.int64)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([row["chunk"]]), *[pa.array([x.tobytes()], pa.binary()) for x in arrays]],
+            names=["chunk", "phrase", "span", "first"],
+        )
 
-    sent = over(known, send_triples, ROWS)
-    known = packed.with_answers(known, _replies(sent, _rank_rows([np.uint32] * 3)), "names")
+    # The phrases alone: naming needs no texts.
+    phrases = packed.co_located(each(texts, parse, "chunk long, phrase binary, span binary, first binary"), parts)
 
-    def count_open(text: _Text, row: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"open": pa.array([text.open(3 ** (row["rounds"] + 1))], pa.int64())})
+    def names_of(row: dict, rounds: int) -> Names:
+        phrase, span, first = (np.frombuffer(row[c], k) for c, k in (("phrase", np.uint32), ("span", np.uint32), ("first", np.int64)))
+        return Names(phrase, span.astype(np.int64), first, length, buckets).answered(row, rounds)
 
+    def send_triples(row: dict) -> pa.RecordBatch:
+        names = names_of(row, 0)
+        columns, place = names.triples()
+        return _send(row["chunk"], names.range_of(columns[0]), columns, place, names.unsure(names.sample, 3))
+
+    replies = _replies(each(phrases, send_triples, ROWS), _rank_rows([np.uint32] * 3))
+    answers = {"names": replies}
     rounds = 0
-    while over(known, count_open, "open long", rounds).agg(F.sum("open")).first()[0]:
-        step = 3 ** (rounds + 1)
+    while _open(replies):
 
-        def send_names(text: _Text, row: dict, step=step) -> pa.RecordBatch:
-            columns, place = text.names_of_names(step)
-            return _send(text.chunk, (columns[0] >> RANK_BITS).astype(np.int64), columns, np.bincount(place))
+        def send_names(row: dict, rounds=rounds) -> pa.RecordBatch:
+            names, step = names_of(row, rounds), 3 ** (rounds + 1)
+            columns, place = names.names_of_names(step)
+            names.extend(step)
+            more = names.unsure(np.flatnonzero(names.short), 3 * step)
+            return _send(row["chunk"], (columns[0] >> RANK_BITS).astype(np.int64), columns, place, more)
 
-        sent = over(known, send_names, ROWS, rounds)
-        replies = _replies(sent, _rank_rows([U64, np.uint32] * 3))
-        known = packed.with_answers(known, replies, f"round{rounds}")
+        replies = _replies(each(_with(phrases, answers), send_names, ROWS), _rank_rows([U64, np.uint32] * 3))
+        answers[f"round{rounds}"] = replies
         rounds += 1
 
+    known = _with(texts, answers)
+
+    def over(frame: DataFrame, step, schema: str) -> DataFrame:
+        return each(frame, lambda row: step(_Text(row, length, buckets, rounds), row), schema)
+
     def send_suffixes(text: _Text, row: dict) -> pa.RecordBatch:
         columns, place, _ = text.suffixes()
-        return _send(text.chunk, text.range_of(columns[0]), columns, np.bincount(place))
+        return _send(text.chunk, text.names.range_of(columns[0]), columns, place)
 
-    sent = over(known, send_suffixes, ROWS, rounds)
-    known = packed.with_answers(known, _replies(sent, _judge), "verdicts")
+    judged = _replies(over(known, send_suffixes, ROWS), _judge)
+    known = _with(known, {"verdicts": judged})
 
     def verdicts(text: _Text, row: dict) -> tuple[np.ndarray, np.ndarray]:
         """The anchors to remove all strings of, and the strings to compare."""
@@ -391,13 +457,13 @@ def remove_repeated_strings(
         keys = hashes(text, text.anchors.strings(verdicts(text, row)[1]))
         return packed.send(text.chunk, *packed.distinct(keys), buckets)
 
-    sent = over(known, send_strings, packed.SENT, rounds)
-    known = packed.with_answers(known, stage(packed.repeated(sent)), "strings")
+    compared = stage(packed.repeated(over(known, send_strings, packed.SENT)))
+    known = _with(known, {"strings": compared})
 
     def write(text: _Text, row: dict) -> pa.RecordBatch:
-        whole, compared = verdicts(text, row)
+        whole, some = verdicts(text, row)
         a = text.anchors
-        starts = a.strings(compared)
+        starts = a.strings(some)
         keys = hashes(text, starts)
         sorted_keys, _ = packed.distinct(keys)
         again = packed.members(sorted_keys, packed.receive(row["strings"], sorted_keys, buckets), keys)
@@ -411,7 +477,14 @@ def remove_repeated_strings(
 
     kind = rows.schema["id"].dataType.simpleString()
     columns = f"id {kind}, kept binary, n_bytes long, n_removed long, n_spans long"
-    return over(known, write, columns, rounds).withColumnRenamed("id", id_column)
+    return over(known, write, columns).withColumnRenamed("id", id_column)
+
+
+def _with(frame: DataFrame, answers: dict[str, DataFrame]) -> DataFrame:
+    """The chunks with the answers of some steps, each in a column of its name."""
+    for name, replies in answers.items():
+        frame = packed.with_answers(frame, replies.select("chunk", "answers"), name)
+    return frame
 
 
 def _without(batch: pa.RecordBatch, a: Anchors, gone: np.ndarray) -> pa.RecordBatch:

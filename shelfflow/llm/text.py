@@ -97,16 +97,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
-def prefix_sums(symbols: np.ndarray) -> np.ndarray:
-    """Sums of symbol times power, from which any span's hash follows."""
+# Symbols handled at a time, so that what is in hand stays in the processor's cache.
+BLOCK = 1 << 15
+
+
+def prefix_sums(symbols: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """Sums of symbol times power, from which any span's hash follows; with a ``table``, of the symbols it lists."""
     up, _ = powers(len(symbols) + 1)
     sums = np.zeros(len(symbols) + 1, U64)
-    np.cumsum(symbols * up[: len(symbols)], out=sums[1:])
+    for begin in range(0, len(symbols), BLOCK):
+        end = min(begin + BLOCK, len(symbols))
+        part = symbols[begin:end] if table is None else table[symbols[begin:end]]
+        part = part * up[begin:end]
+        np.cumsum(part, out=sums[begin + 1 : end + 1])
+        sums[begin + 1 : end + 1] += sums[begin]
     return sums
 
 
 def byte_sums(data: np.ndarray) -> np.ndarray:
-    return prefix_sums(_symbols()[data])
+    return prefix_sums(data, _symbols())
 
 
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
