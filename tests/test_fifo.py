@@ -195,3 +195,19 @@ def test_allocation_feeds_the_wastage_log(shop):
     direct = facts.wastage_log(shop, allocation, Params())
     joined = facts.wastage_log(shop, fifo.with_batches(shop["order_items"], allocation), Params())
     assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, joined.collect()))
+
+
+def test_all_items_at_midnight(frame):
+    """Time stamps that carry only a day put all items of a day into one second."""
+    rng = random.Random(11)
+    orders = [{"order_id": n, "store_id": 1, "order_timestamp": at(n % 4), "order_status": "delivered"} for n in range(40)]
+    items = [
+        {"order_item_id": n, "order_id": rng.randrange(40), "sku_id": rng.choice([1, 2]), "quantity": rng.randrange(1, 6)}
+        for n in range(400)
+    ]
+    po = [
+        {"batch_id": b, "store_id": 1, "sku_id": rng.choice([1, 2]), "actual_delivery_date": on(b % 4), "quantity_ordered": rng.randrange(20, 90)}
+        for b in range(20)
+    ]
+    case = (items, orders, po, {1: 3, 2: 9})
+    assert outcome(allocate(frame, *case, True)) == greedy(*case, True)

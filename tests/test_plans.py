@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from shelfflow.operators import facts, features, fifo, kpis, reorder
+from shelfflow.operators import facts, features, fifo, kpis, reorder, stores
 from shelfflow.plans import demand, warehouse
 from shelfflow.sources.files import write_fact
 
@@ -51,6 +51,12 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_allocated_items_are_read_and_not_allocated_again(shop):
+    t = warehouse.allocate_batches(shop)
+    for df in (facts.daily_sales(t), facts.daily_movement(t), stores.store_orders(t)):
+        assert "Window" not in plan_of(df)
+
+
 def test_scans_read_only_needed_columns(tables):
     plan = plan_of(facts.daily_movement(tables))
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "lineitem" in line]
