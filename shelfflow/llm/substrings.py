@@ -31,7 +31,7 @@ from shelfflow.llm.text import byte_sums, flat, lowest, mix, sliced, span_hashes
 def level_lengths(length: int, base: int) -> list[int]:
     """``length``, its half, the half of that and so on, rounded up, down to ``base`` at least."""
     levels = [length]
-    while (levels[0] + 1) // 2 >= base:
+    while levels[0] > base and (levels[0] + 1) // 2 >= base:
         levels.insert(0, (levels[0] + 1) // 2)
     return levels
 

@@ -102,6 +102,7 @@ def test_levels_double():
     assert substrings.level_lengths(35, 16) == [18, 35]
     assert substrings.level_lengths(35, 4) == [5, 9, 18, 35]
     assert substrings.level_lengths(8, 8) == [8]
+    assert substrings.level_lengths(2, 1) == [1, 2] and substrings.level_lengths(1, 1) == [1]
 
 
 def strings_by_hand(rows, length):
