@@ -9,10 +9,17 @@ language gets ``centroids`` clusters: seeds are its documents with the smallest
 rounds assigns every training document to the nearest centroid of its own language and averages. Each task sums
 its vectors per centroid; only sums travel.
 
-A text gets the language of the centroid with the greatest cosine. It is rejected as too far from all of them if its
-distance (one minus the cosine) exceeds the mean of training texts of similar length by more than ``tolerance``
-standard deviations, or if it has no letters. Languages are bounded by ``max_languages``, so everything that is broadcast
-has a bounded size.
+A text gets the language of the centroid with the greatest cosine. It is rejected as too far from all of them
+
+* if its distance (one minus the cosine) exceeds the median of that language's training texts of similar length by more than
+  ``tolerance`` deviations, taken as 1.4826 times the median absolute deviation and at least ``LEAST``: a minority of junk among
+  the training rows moves neither. Length is the number of distinct trigrams, on which the distance depends; a word said a
+  thousand times is short. A last round over all training rows counts the distances in histograms, each text left out
+  of its own centroid;
+* or if it is no closer than as many random trigrams would be, by ``CHANCE`` standard deviations;
+* or if it has no letters.
+
+Languages are bounded by ``max_languages``, so everything that is broadcast has a bounded size.
 
 Defined cases: a NULL text or one without letters is ``und`` with score 0, and rejected. A NULL id counts as the empty text for the
 split. Without any training row every text is ``und``. Ties go to the first language in code-point order. Repeated rows count as often as they occur.
@@ -35,8 +42,14 @@ from pyspark.sql import types as T
 from shelfflow.llm import sums
 from shelfflow.llm.text import sliced
 
-DIMENSIONS = 2048
-SIZES = 24
+DIMENSIONS = 8192
+# Classes of length, two for each doubling of the distinct trigrams, and steps of the distance in a histogram.
+SIZES = 27
+STEPS = 256
+LEAST = 0.03
+CHANCE = 4.0
+# Texts whose trigrams are held as whole rows at a time.
+ROWS = 256
 
 
 @cache
@@ -59,7 +72,7 @@ def trigram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     if len(points) < 3:
         return np.zeros((len(texts), DIMENSIONS), np.int64), n_letters
     mixed = (points[:-2] * np.uint64(0x9E3779B97F4A7C15) + points[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + points[2:]
-    place = ((mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(53)).astype(np.int64)
+    place = ((mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - DIMENSIONS.bit_length() + 1)).astype(np.int64)
     owner = np.where(letter[1:-1], row[1:-1], row[:-2])
     own = letter[1:-1] | (row[:-2] == row[2:])
     cells = np.bincount(owner[own] * DIMENSIONS + place[own], minlength=len(texts) * DIMENSIONS)
@@ -74,9 +87,34 @@ def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-12)
 
 
-def _size(n_letters: np.ndarray) -> np.ndarray:
-    """Texts of similar length: by the binary logarithm of the number of letters."""
-    return np.minimum(np.log2(np.maximum(n_letters, 1)).astype(np.int64), SIZES - 1)
+def _size(counts: np.ndarray) -> np.ndarray:
+    """Texts of similar length: by the logarithm of the number of distinct trigrams."""
+    return (2 * np.log2(np.maximum((counts > 0).sum(axis=1), 1))).astype(np.int64)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches, "text"):
+        for begin in range(0, batch.num_rows, ROWS):
+            yield batch.slice(begin, ROWS)
+
+
+def _median(values: np.ndarray, weights: np.ndarray) -> float:
+    order = np.argsort(values, kind="stable")
+    running = np.cumsum(weights[order])
+    return float(values[order][np.searchsorted(running, running[-1] / 2)])
+
+
+def _limits(spread: np.ndarray, tolerance: float) -> np.ndarray:
+    """The greatest distance of each language and size, from the histograms of the training texts' distances."""
+    middle = (np.arange(STEPS) + 0.5) / STEPS
+    out = np.ones(spread.shape[:2])
+    for lang, size in np.ndindex(*out.shape):
+        weights = spread[lang, size]
+        # Of fewer than thirty texts nothing is said about a length.
+        if weights.sum() >= 30:
+            median = _median(middle, weights)
+            out[lang, size] = median + tolerance * max(1.4826 * _median(np.abs(middle - median), weights), LEAST)
+    return out
 
 
 @dataclass
@@ -85,10 +123,20 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # of length one, those of a language next to each other
     owner: np.ndarray  # the language of each centroid
-    farthest: np.ndarray  # by size of the text: a greater distance is rejected
+    farthest: np.ndarray  # by language and size of the text: a greater distance is rejected
+
+    def __post_init__(self):
+        """Mean and deviation of what one trigram in a random place adds to the cosine of a text."""
+        scale = np.sqrt((self.idf.astype(float) ** 2).mean())
+        self.chance = np.array([((c * self.idf).mean() / scale, (c * self.idf).std() / scale) for c in self.centroids]).reshape(-1, 2)
 
     def predict(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Language number (-1: und), cosine and rejection of each text."""
+        parts = [self._predict(texts[begin : begin + ROWS]) for begin in range(0, max(len(texts), 1), ROWS)]
+        lang, score, rejected = (np.concatenate(p) for p in zip(*parts))
+        return lang, score, rejected
+
+    def _predict(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         counts, n_letters = trigram_counts(texts)
         vectors = _vectors(counts, self.idf)
         known = n_letters > 0
@@ -97,7 +145,10 @@ class Model:
         cosine = vectors @ self.centroids.T
         best = cosine.argmax(axis=1)
         score = np.clip(cosine[np.arange(len(texts)), best], 0, 1).astype(float)
-        rejected = ~known | (1 - score > self.farthest[_size(n_letters)])
+        distinct = (counts > 0).sum(axis=1)
+        mean, deviation = self.chance[best].T
+        by_chance = mean * np.sqrt(distinct) + CHANCE * deviation * np.sqrt(1 - distinct / DIMENSIONS)
+        rejected = ~known | (1 - score > self.farthest[self.owner[best], _size(counts)]) | (score <= by_chance)
         return np.where(known, self.owner[best], -1), np.where(known, score, 0.0), rejected
 
 
@@ -117,11 +168,11 @@ def train(
     number = {lang: n for n, lang in enumerate(languages)}
     if not languages:
         none = np.zeros((0, DIMENSIONS), np.float32)
-        return Model([], np.ones(DIMENSIONS, np.float32), none, np.zeros(0, np.int64), np.ones(SIZES))
+        return Model([], np.ones(DIMENSIONS, np.float32), none, np.zeros(0, np.int64), np.ones((0, SIZES)))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(DIMENSIONS + 1)
-        for batch in sliced(batches, "text"):
+        for batch in _blocks(batches):
             counts, _ = trigram_counts(batch.column("text").to_pylist())
             total[:-1] += (counts > 0).sum(axis=0)
             total[-1] += batch.num_rows
@@ -134,41 +185,58 @@ def train(
     draw = F.xxhash64(F.col("id").cast("string"), F.lit("seed"))
     seeds = _seed_vectors(rows, draw, idf, languages, centroids)
     owner = np.repeat(np.arange(len(languages)), centroids)
-    farthest = np.ones(SIZES)
+
+    def nearest_own(batch: pa.RecordBatch, now: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Vectors, languages, counts and, of each text, the nearest centroid of its language."""
+        counts, _ = trigram_counts(batch.column("text").to_pylist())
+        vectors = _vectors(counts, idf)
+        lang = np.array([number[x] for x in batch.column("lang").to_pylist()])
+        return vectors, lang, counts, np.where(owner[None, :] == lang[:, None], vectors @ now.T, -1.0).argmax(axis=1)
+
+    before, total = seeds, seeds
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(seeds)
 
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            now = shared.value
-            total = np.zeros((len(owner), DIMENSIONS))
-            spread = np.zeros((SIZES, 3))
-            for batch in sliced(batches, "text"):
-                counts, n_letters = trigram_counts(batch.column("text").to_pylist())
-                vectors = _vectors(counts, idf)
-                lang = np.array([number[x] for x in batch.column("lang").to_pylist()])
-                cosine = vectors @ now.T
-                own = np.where(owner[None, :] == lang[:, None], cosine, -1.0)
-                nearest = own.argmax(axis=1)
-                for c in np.unique(nearest):
-                    total[c] += vectors[nearest == c].sum(axis=0)
-                size, far = _size(n_letters), 1 - own.max(axis=1)
-                far, size = far[n_letters > 0], size[n_letters > 0]
-                spread[:, 0] += np.bincount(size, minlength=SIZES)
-                spread[:, 1] += np.bincount(size, far, SIZES)
-                spread[:, 2] += np.bincount(size, far * far, SIZES)
-            yield sums.partial({**dict(enumerate(total)), len(owner): spread.ravel()})
-
-        found = sums.summed(rows.select("text", "lang").mapInArrow(assign, sums.PARTIAL))
-        total = np.array([found[c] for c in range(len(owner))])
+            total: dict[int, np.ndarray] = {}
+            for batch in _blocks(batches):
+                vectors, _, _, nearest = nearest_own(batch, shared.value)
+                for c in np.unique(nearest).tolist():
+                    total[c] = total.get(c, 0) + vectors[nearest == c].sum(axis=0, dtype=np.float64)
+            yield sums.partial(total)
+
+        before, found = seeds, sums.summed(rows.select("text", "lang").mapInArrow(assign, sums.PARTIAL))
+        total = np.array([found.get(c, np.zeros(DIMENSIONS)) for c in range(len(owner))])
         empty = ~total.any(axis=1)
         total[empty] = seeds[empty]
         seeds = (total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-12)).astype(np.float32)
-        count, far, squares = found[len(owner)].reshape(SIZES, 3).T
-        mean = far / np.maximum(count, 1)
-        deviation = np.sqrt(np.maximum(squares / np.maximum(count, 1) - mean**2, 0))
-        # Of fewer than thirty texts nothing is said about a length.
-        farthest = np.where(count >= 30, mean + tolerance * deviation, 1.0)
-    return Model(languages, idf, seeds, owner, farthest)
+    shared = spark.sparkContext.broadcast((before, total.astype(np.float32)))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, total = shared.value
+        squares = (total.astype(np.float64) ** 2).sum(axis=1)
+        spread: dict[int, np.ndarray] = {}
+        for batch in _blocks(batches):
+            vectors, lang, counts, member = nearest_own(batch, before)
+            dot, place = (vectors @ total.T).astype(np.float64), np.arange(len(lang))
+            length = np.broadcast_to(squares, dot.shape).copy()
+            if rounds:  # the centroid a text belongs to, without the text
+                length[place, member] += 1 - 2 * dot[place, member]
+                dot[place, member] -= 1
+            cosine = np.where(length > 1e-3, dot / np.sqrt(np.maximum(length, 1e-3)), -1.0)
+            cosine = np.where(owner[None, :] == lang[:, None], cosine, -1.0).max(axis=1)
+            step = np.minimum((np.clip(1 - cosine, 0, 1) * STEPS).astype(np.int64), STEPS - 1)
+            # Texts without letters, and such as are alone in their language, have no distance.
+            told = counts.any(axis=1) & (cosine > -1)
+            cell = _size(counts) * STEPS + step
+            for n in np.unique(lang[told]).tolist():
+                spread[n] = spread.get(n, 0) + np.bincount(cell[told & (lang == n)], minlength=SIZES * STEPS)
+        yield sums.partial(spread)
+
+    found = sums.summed(rows.select("text", "lang").mapInArrow(measure, sums.PARTIAL))
+    none = np.zeros(SIZES * STEPS)
+    spread = np.array([found.get(n, none) for n in range(len(languages))]).reshape(-1, SIZES, STEPS)
+    return Model(languages, idf, seeds, owner, _limits(spread, tolerance))
 
 
 def _seed_vectors(rows: DataFrame, draw: Column, idf: np.ndarray, languages: list[str], centroids: int) -> np.ndarray:

@@ -182,6 +182,52 @@ def test_noise_is_rejected_and_prose_is_not(spark):
     assert apart in rejected and len(rejected) < 0.05 * len(found)
 
 
+LENGTHS = (30, 64, 200, 400, 1000, 3000, 10_000, 50_000)
+CYRILLIC, GREEK, CJK = "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", [chr(n) for n in range(0x4E00, 0x5A00)]
+RUSSIAN = ["при", "вет", "мо", "ро", "ка", "сно", "ва", "ле", "ние", "ста", "про", "зде", "ть", "ого", "ем", "ша"]
+FINNISH = ["ka", "lo", "mi", "tu", "sä", "vei", "nen", "kku", "tta", "ry", "hyö", "pa", "jär", "ssa", "ell", "ään"]
+
+
+def letters(alphabet, n, rng):
+    """Random letters in words of two to nine."""
+    ends = np.cumsum(rng.integers(2, 10, n))
+    drawn = "".join(alphabet[i] for i in rng.integers(0, len(alphabet), n))
+    return " ".join(drawn[a:b] for a, b in zip([0, *ends], ends) if drawn[a:b])
+
+
+def speech(syllables, n, rng):
+    """Words of a small language with these syllables."""
+    known = ["".join(syllables[i] for i in rng.integers(0, len(syllables), k)) for k in rng.integers(1, 4, 400)]
+    words = [known[i] for i in rng.integers(0, 400, n)]
+    return " ".join(words[: 1 + int(np.searchsorted(np.cumsum([len(w) for w in words]), n))])
+
+
+def language_model(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumnRenamed("doc_id", "id")
+    apart = language.held_out(F.col("id"), 4, 2)
+    prose = [r.text for r in docs.filter(apart).collect() if any(c.isalpha() for c in r.text or "")]
+    return language.train(docs.filter(~apart)), prose
+
+
+def test_unlearned_scripts_are_rejected_at_every_length(spark):
+    model, prose = language_model(spark, "/root/testdata/sf0.01")
+    rng = np.random.default_rng(4)
+    for n in LENGTHS:
+        foreign = [letters(a, n, rng) for a in (CYRILLIC, GREEK, CJK)] + [speech(RUSSIAN, n, rng)]
+        assert model.predict(foreign)[2].all(), n
+    assert model.predict(prose)[2].mean() < 0.02
+
+
+def test_junk_among_the_training_rows_moves_no_limit():
+    """A tenth of the texts far from their language leaves the limit where it is, near enough."""
+    clean = np.zeros((1, language.SIZES, language.STEPS))
+    clean[0, 16, 40:61] = 900 / 21
+    junk = clean.copy()
+    junk[0, 16, 230] = 100
+    limits = [language._limits(x, 6.0)[0, 16] for x in (clean, junk)]
+    assert limits[0] < 0.5 and limits[1] - limits[0] < 0.05
+
+
 # Quality rules
 
 
