@@ -228,6 +228,30 @@ def test_junk_among_the_training_rows_moves_no_limit():
     assert limits[0] < 0.5 and limits[1] - limits[0] < 0.05
 
 
+@pytest.mark.parametrize("folder", [SMALL, "/root/testdata/sf0.01"])
+def test_lengths_that_training_hardly_has_are_judged_too(spark, folder):
+    """The longest training text has fewer distinct trigrams than these, whatever the number of training rows."""
+    model, prose = language_model(spark, folder)
+    rng = np.random.default_rng(6)
+    for n in (n for n in LENGTHS if n >= 400):
+        foreign = [letters("abcdefghijklmnopqrstuvwxyz", n, rng) for _ in range(3)] + [speech(FINNISH, n, rng) for _ in range(3)]
+        assert model.predict(foreign)[2].all(), n
+    assert model.predict(prose)[2].mean() < 0.02
+
+
+def test_limits_do_not_jump_with_the_number_of_rows():
+    """One text more changes a limit little; lengths without a text take it from the nearest."""
+    for n in (1, 10, 29, 300):
+        spread = np.zeros((2, language.SIZES, language.STEPS))
+        spread[0, 16, 40:60] = 100
+        spread[0, 20, 20] = n
+        more = spread.copy()
+        more[0, 20, 20] += 1
+        limits, then = language._limits(spread, 6.0), language._limits(more, 6.0)
+        assert np.abs(limits[0, 16:] - then[0, 16:]).max() < 0.1
+        assert limits[0, 16:].max() < 0.6 and (limits[1, 16:] < 0.6).all()
+
+
 # Quality rules
 
 
