@@ -41,9 +41,12 @@ def _typed(text: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def rebuilt(df: DataFrame, partition_by: str) -> DataFrame:
-    """A fact table written twice to one place, as a rebuild does, and read back."""
+    """A fact table written twice to one place, as a rebuild does, and read back.
+
+    The first version has all rows thirty days later: partitions that the second replaces, and others that must go.
+    """
     path = _path(df, "fact")
-    files.write_fact(df.limit(0), path, [partition_by])
+    files.write_fact(df.withColumn(partition_by, F.date_add(partition_by, 30)), path, [partition_by])
     return files.write_fact(df, path, [partition_by])
 
 
