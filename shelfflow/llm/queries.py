@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfflow.llm import chat, decontaminate, language, lines, lm, mixing, quality, simhash, substrings, suffixes
+from shelfflow.llm import chat, decontaminate, language, lines, lm, mixing, quality, simhash, substrings, suffixes, tokens
 from shelfflow.sources.staging import stage
 
 
@@ -72,6 +72,14 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicate_groups(read(spark, folder, "documents"), shingle=3, max_bits=2)
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    counted = tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
@@ -83,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_token_counts": op11_token_counts,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
