@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfflow.llm import chat, decontaminate, language, lines, lm, mixing, quality, simhash, substrings, suffixes, tokens
+from shelfflow.llm import chat, collocations, decontaminate, language, lines, lm, mixing, quality, simhash, spelling, substrings, suffixes, tokens
 from shelfflow.sources.staging import stage
 
 
@@ -80,6 +80,14 @@ def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, folder, "documents"), least_chars=6, least_count=5, ratio=5, slips=199)
+
+
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read(spark, folder, "documents"), least=100, top=2000, covered_percent=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_language_id": op2_language_id,
@@ -92,14 +100,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_token_counts": op11_token_counts,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
-LOWER_WORDS = WORDS.replace(
-    "coalesce(text, '')",
-    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
-)
+LOWER_TEXT = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+LOWER_WORDS = WORDS.replace("coalesce(text, '')", LOWER_TEXT)
 SHINGLES = """CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
     ELSE [array_to_string(w[x : x + 4], ' ') FOR x IN range(1, len(w) - 3)] END"""
 
@@ -166,4 +174,32 @@ ORACLE_SQL: dict[str, str] = {
         shared AS (SELECT ds.id AS doc_id, bs.id AS item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY ALL)
         SELECT doc_id, item_id, n_shingles, n_shared FROM shared JOIN n ON n.id = item_id
         WHERE n_shared >= 0.8 * n_shingles""",
+    "op13_phrase_collocations": rf"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWER_TEXT}, '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        g AS (
+            SELECT lang, size, unnest([array_to_string(w[i : i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+            FROM w, (SELECT unnest(range(1, 6)) AS size) WHERE len(w) >= size),
+        f AS (SELECT lang, size, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+        c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size >= 2),
+        cuts AS (SELECT *, unnest(range(1, size)) AS k FROM c),
+        scored AS (
+            SELECT cuts.lang, cuts.phrase, cuts.a, k, first.a AS l, rest.a AS r, n,
+                (1000 * cuts.a::HUGEINT * n) // (first.a::HUGEINT * rest.a) AS score
+            FROM cuts JOIN totals USING (lang)
+            JOIN f AS first ON first.lang = cuts.lang AND first.phrase = array_to_string(w[: k], ' ')
+            JOIN f AS rest ON rest.lang = cuts.lang AND rest.phrase = array_to_string(w[k + 1 :], ' ')),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inner_phrases AS (
+            SELECT lang, a, unnest(flatten([[array_to_string(w[i : i + m - 1], ' ') FOR i IN range(1, size - m + 2)] FOR m IN range(2, size)]))
+                AS phrase FROM c WHERE size > 2),
+        covered AS (SELECT lang, phrase, max(a) AS a FROM inner_phrases GROUP BY ALL),
+        kept AS (
+            SELECT b.* FROM best b LEFT JOIN covered ON covered.lang = b.lang AND covered.phrase = b.phrase
+            WHERE covered.a IS NULL OR 100 * covered.a < 100 * b.a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000""",
 }
