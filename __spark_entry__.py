@@ -31,8 +31,8 @@ except ModuleNotFoundError as missing:
 
 Query = Callable[[SparkSession, str], DataFrame]
 P = Params()
-# Boosting rounds of the two registered model queries; the library's own default is 300.
-ROUNDS = 6
+# The model whose training and prediction SQL can repeat; all other queries train to the full budget.
+SMALL_MODEL = demand.ModelParams(max_iter=2, max_depth=2, patience=None)
 
 # Stand-ins for the category and zone rules, in terms of the benchmark's categories and zones.
 BENCHMARK_RULES = {"SMALL": (True, 2, 7, 10), "PROMO": (True, 30, 180, 7), "LARGE": (False, 90, 270, 5)}
@@ -81,9 +81,9 @@ def _forecasts(t):
     return test.withColumn("predicted_demand", ((F.col("rolling_7day_avg") + F.col("sales_lag_28")) / 2).cast("decimal(10,4)"))
 
 
-def _reorder(t):
+def _reorder(t, forecasts: DataFrame | None = None):
     leadtimes = kpis.store_sku_supplier_leadtime(t["purchase_orders"])
-    return reorder.reorder_points(_forecasts(t), _velocity(t), leadtimes, P)
+    return reorder.reorder_points(_forecasts(t) if forecasts is None else forecasts, _velocity(t), leadtimes, P)
 
 
 def _labelled(parts: tuple[DataFrame, DataFrame]) -> DataFrame:
@@ -228,8 +228,12 @@ ON_TABLES: dict[str, Callable[[LazyTables], DataFrame]] = {
     "split_fixed": lambda t: _labelled(features.split_by_date(_clean(t), P.split_date)),
     "split_quantile": lambda t: _labelled(features.split_by_quantile(_clean(t), P.split_quantile)),
     "split_summary": lambda t: features.split_summary(*features.split_by_quantile(_clean(t), P.split_quantile)),
-    "demand_model": lambda t: demand.model_report(_clean(t), P, demand.ModelParams(max_iter=ROUNDS, variance_power=1.5)),
-    "forecasts": lambda t: demand.demand_forecasts(_clean(t), P, demand.ModelParams(max_iter=ROUNDS)),
+    "demand_model": lambda t: demand.model_report(_clean(t), P),
+    "forecasts": lambda t: demand.demand_forecasts(_clean(t), P),
+    "forecasts_by_table": lambda t: demand.scored_by_table(_clean(t), P),
+    "demand_boosting": lambda t: demand.demand_forecasts(_clean(t), P, SMALL_MODEL),
+    "reorder_points_model": lambda t: _reorder(t, demand.stored_forecasts(_clean(t), P)),
+    "reorder_points_boosted": lambda t: _reorder(t, demand.stored_forecasts(_clean(t), P, SMALL_MODEL)),
     "forecast_metrics": _metrics,
     "naive_baselines": lambda t: features.naive_baselines(_forecasts(t)),
     "baseline_improvement": lambda t: features.baseline_improvement(_forecasts(t)),

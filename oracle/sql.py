@@ -297,16 +297,122 @@ CTES |= {
                {fraction("sum(abs(target_sold_qty - coalesce(rolling_7day_avg, 0))::DECIMAL(28,10))", "count(*)")} AS naive_rolling_mae,
                {fraction("sum(abs(target_sold_qty - predicted_demand)::DECIMAL(28,10))", "count(*)")} AS model_mae
         FROM inv_forecasts""",
+    "inv_days": """
+        SELECT snapshot_date, sum(count(*)) OVER (ORDER BY snapshot_date) AS through, sum(count(*)) OVER () AS n
+        FROM inv_clean GROUP BY snapshot_date""",
     "inv_split": f"""
-        SELECT min(snapshot_date) AS split_date FROM (
-            SELECT snapshot_date, row_number() OVER (ORDER BY snapshot_date) - 1 AS i, count(*) OVER () AS n FROM inv_clean)
-        WHERE i = CAST(round_even({QUANTILE}::DOUBLE * (n - 1), 0) AS BIGINT)""",
+        SELECT min(snapshot_date) AS split_date FROM inv_days WHERE through > CAST(round_even({QUANTILE}::DOUBLE * (n - 1)::DOUBLE, 0) AS BIGINT)""",
     "inv_feed": """
         SELECT p_partkey AS feed_row, trim(p_type) AS category, trim(' ' || p_name || ' ') AS sku_name,
                CAST(CAST(round(p_retailprice * 100) AS BIGINT) * 0.01 AS DECIMAL(12,2)) AS mrp, p_size * 10 AS unit_weight_grams
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
 }
 
+
+BOOST_ROUNDS, BOOST_DEPTH, STEP = 2, 2, 0.05
+# One and two less the variance power, as the doubles they are.
+P1, P2 = f"'{1 - 1.9!r}'::DOUBLE", f"'{2 - 1.9!r}'::DOUBLE"
+NUMERIC = (
+    "store_id sku_id day_of_week is_weekend day_of_month sales_lag_1 sales_lag_7 sales_lag_28 rolling_7day_avg rolling_7day_stddev "
+    "capacity_units unit_cost mrp"
+).split()
+
+
+def boosted() -> dict[str, str]:
+    """Two rounds of boosted trees of depth two on the rows before the split date, scored on all rows; ``inv_bt_end`` has the scores."""
+
+    def labels(column: str) -> str:
+        return f"""SELECT {column}, row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS i
+            FROM inv_clean WHERE snapshot_date < {SPLIT} GROUP BY {column}"""
+
+    ctes = {
+        "inv_bt_category": labels("category"),
+        "inv_bt_zone": labels("zone"),
+        "inv_bt_labels": """SELECT 13 AS f, unnest(range(0, count(*) + 1))::DOUBLE AS upper FROM inv_bt_category
+            UNION ALL SELECT 14, unnest(range(0, count(*) + 1))::DOUBLE FROM inv_bt_zone""",
+        "inv_bt_rows": f"""
+            SELECT row_number() OVER () AS id, c.store_id, c.sku_id, c.snapshot_date, c.target_sold_qty, c.snapshot_date < {SPLIT} AS train,
+                   target_sold_qty::DOUBLE AS y,
+                   [{", ".join(f"coalesce({c}::DOUBLE, 0)" for c in NUMERIC)},
+                    coalesce(k.i, (SELECT count(*) FROM inv_bt_category))::DOUBLE,
+                    coalesce(z.i, (SELECT count(*) FROM inv_bt_zone))::DOUBLE] AS x
+            FROM inv_clean c LEFT JOIN inv_bt_category k ON k.category = c.category LEFT JOIN inv_bt_zone z ON z.zone = c.zone""",
+        "inv_bt_long": "SELECT id, unnest(x) AS value, unnest(range(0, 15)) AS f FROM inv_bt_rows WHERE train",
+        "inv_bt_placed": """
+            SELECT f, value, sum(n) OVER (PARTITION BY f ORDER BY value) - n AS below, sum(n) OVER (PARTITION BY f) AS total,
+                   row_number() OVER (PARTITION BY f ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY f) AS distinct_values
+            FROM (SELECT f, value, count(*) AS n FROM inv_bt_long WHERE f < 13 GROUP BY ALL)""",
+        "inv_bt_bins": """
+            SELECT f, value, max(value) OVER (PARTITION BY f, CASE WHEN distinct_values <= 256 THEN i ELSE below * 256 // total END) AS upper
+            FROM inv_bt_placed""",
+        "inv_bt_codes": """
+            SELECT id, f, upper FROM inv_bt_long JOIN inv_bt_bins USING (f, value)
+            UNION ALL SELECT id, f, value FROM inv_bt_long WHERE f >= 13""",
+        "inv_bt_bits": "SELECT least(36, 62 - length(bin(count(*)))) AS bits FROM inv_bt_rows WHERE train",
+        "inv_bt_score0": """
+            SELECT id, train, y, x, (SELECT ln(greatest(sum(y) / count(*), 1e-6)) FROM inv_bt_rows WHERE train) AS score FROM inv_bt_rows""",
+        "inv_bt_bound1": f"""SELECT max(y * exp({P1} * score)) AS a, max(exp({P2} * score)) AS b
+            FROM inv_bt_score0 WHERE train""",
+    }
+    for r in range(1, BOOST_ROUNDS + 1):
+        unit = f"(SELECT 2::DOUBLE ** (ceil(log2(2 * (a + b))) - bits) FROM inv_bt_bound{r}, inv_bt_bits)"
+        low, high = f"exp({P1} * score)", f"exp({P2} * score)"
+        ctes[f"inv_bt_unit{r}"] = f"SELECT {unit} AS u"
+        ctes[f"inv_bt_grad{r}"] = f"""
+            SELECT id, round_even(({high} - y * {low}) / u, 0)::BIGINT AS g,
+                   round_even(({P2} * {high} - {P1} * y * {low}) / u, 0)::BIGINT AS h
+            FROM inv_bt_score{r - 1}, inv_bt_unit{r} WHERE train"""
+        ctes[f"inv_bt_node{r}0"] = f"SELECT id, x, 0 AS node, 0::DOUBLE AS leaf FROM inv_bt_score{r - 1}"
+        for level in range(BOOST_DEPTH):
+            k = f"{r}{level}"
+            ctes[f"inv_bt_hist{k}"] = f"""
+                SELECT node, f, upper, sum(g) AS g, sum(h) AS h FROM inv_bt_codes JOIN inv_bt_grad{r} USING (id)
+                JOIN inv_bt_node{k} USING (id) WHERE node >= {2**level - 1} GROUP BY ALL"""
+            ctes[f"inv_bt_all{k}"] = f"SELECT node, sum(g) AS tg, sum(h) AS th FROM inv_bt_hist{k} WHERE f = 0 GROUP BY node"
+            ctes[f"inv_bt_pos{k}"] = f"""
+                SELECT node, f, upper, g, h, row_number() OVER (PARTITION BY node, f ORDER BY upper) AS pos FROM inv_bt_hist{k} WHERE f < 13
+                UNION ALL
+                SELECT node, f, upper, g, h, row_number() OVER (PARTITION BY node, f ORDER BY (g::DOUBLE * u) / (h::DOUBLE * u + 1), upper)
+                FROM (SELECT a.node, l.f, l.upper, coalesce(h.g, 0) AS g, coalesce(h.h, 0) AS h FROM inv_bt_all{k} a CROSS JOIN inv_bt_labels l
+                      LEFT JOIN inv_bt_hist{k} h ON h.node = a.node AND h.f = l.f AND h.upper = l.upper), inv_bt_unit{r}"""
+            ctes[f"inv_bt_cuts{k}"] = f"""
+                SELECT node, f, upper, pos, lg::DOUBLE * u AS lg, lh::DOUBLE * u AS lh, (tg - lg)::DOUBLE * u AS rg, (th - lh)::DOUBLE * u AS rh,
+                       tg::DOUBLE * u AS tg, th::DOUBLE * u AS th
+                FROM (SELECT *, sum(g) OVER w AS lg, sum(h) OVER w AS lh FROM inv_bt_pos{k}
+                      WINDOW w AS (PARTITION BY node, f ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+                JOIN inv_bt_all{k} USING (node), inv_bt_unit{r}"""
+            ctes[f"inv_bt_best{k}"] = f"""
+                SELECT *, (SELECT list(upper) FROM inv_bt_pos{k} p WHERE p.node = b.node AND p.f = b.f AND p.pos <= b.pos) AS listed
+                FROM (SELECT *, lg * lg / (lh + 1) + rg * rg / (rh + 1) - tg * tg / (th + 1) AS gain FROM inv_bt_cuts{k}
+                      WHERE lh >= 1 AND rh >= 1) b
+                WHERE gain > 1e-6
+                QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, pos) = 1"""
+            goes_left = "CASE WHEN b.f < 13 THEN n.x[b.f + 1] <= b.upper ELSE list_contains(b.listed, n.x[b.f + 1]) END"
+            ctes[f"inv_bt_node{r}{level + 1}"] = f"""
+                SELECT n.id, n.x, CASE WHEN b.node IS NULL THEN n.node WHEN {goes_left} THEN 2 * n.node + 1 ELSE 2 * n.node + 2 END AS node,
+                       CASE WHEN b.node IS NULL THEN n.leaf WHEN {goes_left} THEN {STEP} * (-lg / (lh + 1)) ELSE {STEP} * (-rg / (rh + 1)) END
+                           AS leaf
+                FROM inv_bt_node{k} n LEFT JOIN inv_bt_best{k} b ON b.node = n.node"""
+        last = f"inv_bt_node{r}{BOOST_DEPTH}"
+        ctes[f"inv_bt_score{r}"] = f"""
+            SELECT s.id, s.train, s.y, s.x, s.score + n.leaf AS score FROM inv_bt_score{r - 1} s JOIN {last} n USING (id)"""
+        ctes[f"inv_bt_bound{r + 1}"] = f"""
+            SELECT a * exp(greatest(0, (SELECT max({P1} * leaf) FROM {last} JOIN inv_bt_rows USING (id) WHERE train))) AS a,
+                   b * exp(greatest(0, (SELECT max({P2} * leaf) FROM {last} JOIN inv_bt_rows USING (id) WHERE train))) AS b
+            FROM (SELECT max(y * {low}) AS a, max({high}) AS b FROM inv_bt_score{r - 1} WHERE train)"""
+    ctes["inv_bt_end"] = f"""
+        SELECT store_id, sku_id, snapshot_date, target_sold_qty, CAST(exp(score) AS DECIMAL(10,4)) AS predicted_demand, sales_lag_1,
+               sales_lag_7, rolling_7day_avg
+        FROM inv_bt_score{BOOST_ROUNDS} JOIN inv_bt_rows USING (id) JOIN inv_clean USING (store_id, sku_id, snapshot_date, target_sold_qty)
+        WHERE NOT inv_bt_score{BOOST_ROUNDS}.train"""
+    return ctes
+
+
+CTES |= boosted()
+# The chain from forecasts to reorder points, on the trees' forecasts.
+for _name in ("inv_sigma", "inv_reorder"):
+    CTES[f"{_name}_bt"] = CTES[_name].replace("inv_forecasts", "inv_bt_end").replace("inv_sigma ", "inv_sigma_bt ")
+
 FEATURES = (
     "store_id i, sku_id i, snapshot_date s, day_of_week i, is_weekend i, day_of_month i, sales_lag_1 i, sales_lag_7 i, "
     "sales_lag_28 i, rolling_7day_avg f, rolling_7day_stddev f, category s, zone s, capacity_units i, unit_cost f, mrp f, "
@@ -318,6 +424,10 @@ DAILY_SALES = (
     "store_id i, store_name s, order_date s, sku_id i, sku_name s, category s, total_quantity_sold i, total_revenue f, "
     "total_profit f"
 )
+REORDER = (
+    "store_id i, sku_id i, snapshot_date s, target_sold_qty i, predicted_demand f, sigma f, velocity_class s, z_score f, "
+    "lead_time_avg f, lead_time_stddev f, safety_stock i, reorder_point i"
+)
 TYPES = {"i": "BIGINT", "f": "DOUBLE", "s": "VARCHAR", "b": "BOOLEAN"}
 
 # key -> (output columns with their type, select)
@@ -457,8 +567,7 @@ QUERIES: dict[str, tuple[str, str]] = {
     ),
     "blended_leadtime": ("store_id i, sku_id i, lead_time_avg f, lead_time_stddev f", "SELECT * FROM inv_blended"),
     "reorder_points": (
-        "store_id i, sku_id i, snapshot_date s, target_sold_qty i, predicted_demand f, sigma f, velocity_class s, z_score f, "
-        "lead_time_avg f, lead_time_stddev f, safety_stock i, reorder_point i",
+        REORDER,
         "SELECT * FROM inv_reorder",
     ),
     "reorder_flags": (
@@ -678,6 +787,15 @@ QUERIES: dict[str, tuple[str, str]] = {
         """SELECT model_mae, best AS best_naive_mae, (best - model_mae) / best * 100 AS improvement_pct
            FROM (SELECT *, least(naive_zero_mae, naive_lag_1_mae, naive_lag_7_mae, naive_rolling_mae) AS best FROM inv_errors)""",
     ),
+    "demand_boosting": (
+        "store_id i, sku_id i, snapshot_date s, target_sold_qty i, predicted_demand f",
+        "SELECT * FROM inv_bt_end",
+    ),
+    "forecasts_by_table": (
+        "rows i, differing i",
+        f"SELECT count(*) AS rows, 0 AS differing FROM inv_clean WHERE snapshot_date >= {SPLIT}",
+    ),
+    "reorder_points_boosted": (REORDER, "SELECT * FROM inv_reorder_bt"),
     "target_distribution": (
         "target_sold_qty i, rows i, share f, zero_pct f",
         f"""SELECT target_sold_qty, count(*) AS rows, {fraction("count(*)", "(SELECT count(*) FROM inv_forecasts)")} AS share,
@@ -766,6 +884,9 @@ QUERIES: dict[str, tuple[str, str]] = {
     ),
 }
 
+# Read several times by one statement.
+KEPT = {"inv_clean"}
+
 _NAME = re.compile(r"\binv_\w+")
 
 
@@ -786,7 +907,7 @@ def statement(key: str) -> str:
         f'CAST("{name}" AS {TYPES[kind]}) AS "{name}"' for name, kind in (c.split() for c in columns.split(", "))
     )
     names = _needed(sql, {})
-    ctes = ",\n".join(f"{n} AS ({CTES[n]})" for n in names)
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in KEPT or n.startswith('inv_bt_') else ''}({CTES[n]})" for n in names)
     return f"WITH RECURSIVE {ctes}\nSELECT {select} FROM ({sql}) AS answer"
 
 
