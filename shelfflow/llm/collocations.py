@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -44,6 +45,8 @@ KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
 CHUNK_BYTES = 4 << 20
 # Keys that a partition receives at most, about.
 BUCKET_KEYS = 1 << 20
+# Partitions of the first pass for one of the second, in which only survivors travel.
+TALLIES = 4
 LONGEST = 5
 # Lengths found at each step.
 STEPS = ((1, 2), (3,), (4, 5))
@@ -126,43 +129,78 @@ class _Chunk:
 
     def settle(self, sizes: tuple[int, ...], mask: np.uint64, answers: list[dict] | None, buckets: int) -> None:
         """Keep the places whose phrases survive."""
-        sent = np.unique(self.keys(sizes, mask))
+        keys = self.keys(sizes, mask)
+        order, heads = _groups(keys)
+        sent = keys[order[heads]]
         chosen = packed.receive(answers, sent, buckets)
+        kept = np.empty(len(keys), bool)
+        kept[order] = np.repeat(chosen, np.diff(np.append(heads, len(keys))))
+        begin = 0
         for n in sizes:
-            self.places[n] = self.places[n][packed.members(sent, chosen, self.hashes[n][self.places[n]] & mask)]
-
-    def phrase(self, place: int, n: int) -> bytes:
-        return b" ".join([self.words[w] for w in self.ids[place : place + n].tolist()])
-
-    def counted(self) -> Iterator[pa.RecordBatch]:
-        """Exact counts of the survivors by language, length and text, and of all words as length 0."""
+            end = begin + len(self.places[n])
+            self.places[n] = self.places[n][kept[begin:end]]
+            begin = end
+
+    def phrases(self, places: np.ndarray, n: int) -> list[bytes]:
+        words = self.words
+        if n == 1:
+            return [words[w] for w in self.ids[places].tolist()]
+        return [b" ".join([words[w] for w in row]) for row in self.ids[places[:, None] + np.arange(n)].tolist()]
+
+    def counted(self) -> tuple[np.ndarray, pa.RecordBatch]:
+        """Exact counts of the survivors by language, length and text, and of all words as length 0; beside them their hashes."""
+        found: list[tuple[np.ndarray, np.ndarray, int, list[bytes], np.ndarray]] = []
         totals = np.bincount(self.lang, minlength=len(self.langs))
-        yield _counts(self.langs, 0, [b""] * len(self.langs), totals)
+        told = np.array([xxhash.xxh64_intdigest(x) for x in self.langs], U64)
+        found.append((told, np.arange(len(self.langs)), 0, [b""] * len(self.langs), totals))
         for n, places in self.places.items():
-            _, first, group, counts = np.unique(self.hashes[n][places], return_index=True, return_inverse=True, return_counts=True)
-            same = self.lang[places] == self.lang[places[first[group]]]
+            order, heads = _groups(self.hashes[n][places])
+            places = places[order]
+            counts = np.diff(np.append(heads, len(places)))
+            same = self.lang[places[1:]] == self.lang[places[:-1]]
             for k in range(n):
-                same &= self.ids[places + k] == self.ids[places[first[group]] + k]
-            if not same.all():  # two phrases of one hash: those that aren't the first are counted one by one
-                others = Counter((self.langs[self.lang[p]], self.phrase(p, n)) for p in places[~same].tolist())
-                yield _counts([x for x, _ in others], n, [p for _, p in others], list(others.values()))
-                counts = np.bincount(group[same], minlength=len(first))
-            heads = places[first].tolist()
-            yield _counts([self.langs[x] for x in self.lang[heads].tolist()], n, [self.phrase(p, n) for p in heads], counts)
+                same &= self.ids[places[1:] + k] == self.ids[places[:-1] + k]
+            same = np.append(True, same)
+            same[heads] = True
+            if not same.all():  # different phrases of one hash: such groups are counted one by one
+                mixed = np.add.reduceat(~same, heads) > 0
+                apart = places[np.repeat(mixed, counts)]
+                texts = Counter(zip(self.hashes[n][apart].tolist(), self.lang[apart].tolist(), self.phrases(apart, n)))
+                keys, langs, spelled = zip(*texts)
+                found.append((np.array(keys, U64), np.array(langs), n, list(spelled), np.array(list(texts.values()))))
+                heads, counts = heads[~mixed], counts[~mixed]
+            first = places[heads]
+            found.append((self.hashes[n][first], self.lang[first], n, self.phrases(first, n), counts))
+        hashes, langs, sizes, spelled, counts = zip(*found)
+        batch = pa.RecordBatch.from_pydict(
+            {
+                "lang": pa.array(self.langs, pa.string()).take(pa.array(np.concatenate(langs).astype(np.int64))),
+                "size": pa.array(np.repeat(sizes, [len(x) for x in spelled]), pa.int32()),
+                "phrase": pa.array([p for part in spelled for p in part], pa.binary()).cast(pa.string()),
+                "n": pa.array(np.concatenate(counts), pa.int64()),
+            }
+        )
+        return np.concatenate(hashes), batch
+
+
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal keys together, and where each group begins in it."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    return order, np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(keys)])
 
 
 COUNTED = "lang string, size int, phrase string, n long"
 
 
-def _counts(langs: list[str], size: int, phrases: list[bytes], counts) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {
-            "lang": pa.array(langs, pa.string()),
-            "size": pa.array([size] * len(phrases), pa.int32()),
-            "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
-            "n": pa.array(counts, pa.int64()),
-        }
-    )
+def _dealt(hashes: np.ndarray, batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
+    """One row per hash partition with the counts that belong there."""
+    order = np.argsort(hashes)
+    batch = batch.take(pa.array(order))
+    cut = packed._bounds(hashes[order], buckets)
+    full = np.flatnonzero(np.diff(cut))
+    parts = [packed.pack_batch(batch.slice(cut[b], cut[b + 1] - cut[b])) for b in full]
+    return pa.RecordBatch.from_pydict({"bucket": pa.array(full, pa.int32()), "payload": pa.array(parts, pa.binary())})
 
 
 def _narrow(keys: np.ndarray) -> bytes:
@@ -297,13 +335,19 @@ def frequent_phrases(docs: DataFrame, least: int = 100, slack: int = 8, text_col
         sent = answered.mapInArrow(send(n), SENT)
         answered = packed.with_answers(answered, packed.co_located(_survivors(sent, least, slack), parts), f"step{n}")
 
+    tallies = buckets // TALLIES + 1
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
-                yield from replay(batch.slice(n, 1).to_pylist()[0], len(STEPS)).counted()
+                yield _dealt(*replay(batch.slice(n, 1).to_pylist()[0], len(STEPS)).counted(), tallies)
+
+    def add(table: pa.Table) -> pa.Table:
+        rows = pa.Table.from_batches([packed.unpack_batch(p) for p in table["payload"].to_pylist()])
+        total = rows.group_by(["lang", "size", "phrase"]).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+        return total.filter((pc.field("size") == 0) | (pc.field("n") >= least)).select(["lang", "size", "phrase", "n"])
 
-    counted = answered.mapInArrow(count, COUNTED).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return stage(counted.filter((F.col("size") == 0) | (F.col("n") >= least)))
+    return stage(answered.mapInArrow(count, "bucket int, payload binary").groupBy("bucket").applyInArrow(add, COUNTED))
 
 
 def collocations(

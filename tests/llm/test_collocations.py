@@ -122,9 +122,8 @@ def test_phrases_of_one_hash_are_counted_apart():
     for n in chunk.hashes:
         chunk.hashes[n] = np.zeros_like(chunk.hashes[n])
     found = Counter()
-    for part in chunk.counted():
-        for r in part.to_pylist():
-            found[r["lang"], r["size"], r["phrase"]] += r["n"]
+    for r in chunk.counted()[1].to_pylist():
+        found[r["lang"], r["size"], r["phrase"]] += r["n"]
     assert found["x", 1, "a"] == 2 and found["x", 1, "c"] == 1 and found["y", 1, "a"] == 1
     assert found["x", 2, "a b"] == 2 and found["x", 2, "c a"] == 1 and found["y", 2, "a b"] == 1
     assert found["x", 5, "a b c a b"] == 1 and found["x", 0, ""] == 5
