@@ -268,7 +268,7 @@ def _importable(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    registered = {name: _on_tables(operator) for name, operator in ON_TABLES.items()}
+    registered = {name: _importable(_on_tables(operator)) for name, operator in ON_TABLES.items()}
     registered["prep_products"] = lambda spark, sf_dir: _plain(
         prep.build_products(product_feed(spark, sf_dir), BENCHMARK_RULES)
     )

@@ -45,7 +45,11 @@ def deviation(n: Column, total: Column, squares: Column, ddof: int = 0) -> Colum
 
     ``ddof=0`` is the population value (0 for one row), ``ddof=1`` the sample value (NULL for one row).
     """
-    spread = (n.cast(WIDE) * squares.cast(WIDE) - total.cast(WIDE) * total.cast(WIDE)).cast("double")
+    wide = (n.cast(WIDE) * squares.cast(WIDE) - total.cast(WIDE) * total.cast(WIDE)).cast("double")
+    # Small sums need no decimals: the same whole number from 64 bits.
+    small = (F.abs(total) < F.lit(1 << 31)) & (squares < F.lit(1 << 42)) & (n < F.lit(1 << 20))
+    narrow = n.cast("long") * squares.cast("long") - total.cast("long") * total.cast("long")
+    spread = F.when(small, narrow.cast("double")).otherwise(wide)
     if ddof == 0:
         return F.when(n > 0, F.sqrt(spread) / n.cast("double"))
     weight = (n * (n - ddof)).cast("double")

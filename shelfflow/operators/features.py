@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,29 +87,30 @@ def _aligned(listed: Column, days: Column) -> Column:
     return F.concat(F.flatten(F.zip_with(listed, before, with_gap)), rest)
 
 
-def forecast_base(
-    stores: DataFrame, products: DataFrame, sold: DataFrame, days: Column, statics: bool = False
+def _pairs_with_sales(
+    stores: DataFrame, products: DataFrame, sold: DataFrame, days: Column, sku_columns: Sequence[str], store_columns: Sequence[str]
 ) -> DataFrame:
-    """Units sold for every store, SKU and day of ``days``, 0 where nothing sold.
-
-    The sales of a store and SKU on those days travel as one array of the calendar's days, join the pair
-    once, and the days unfold beside it. Only pairs are shuffled, not the far larger grid, and
-    the grid comes out laid out by store and SKU as the windows need it.
-    """
-    store_columns = ["store_id", *(STORE_STATICS if statics else [])]
-    sku_columns = ["sku_id", *(SKU_STATICS if statics else [])]
+    """Every store and SKU with the calendar ``_days`` and the units sold on each of its days, ``_sold``."""
     place = F.array_position(days, F.col("snapshot_date"))
     on_calendar = sold.withColumn("_place", place).filter(F.col("_place") > 0)
     listed = F.sort_array(F.collect_list(F.struct("_place", "sold_qty")))
     by_pair = on_calendar.groupBy(*CELL).agg(_aligned(listed, F.size(days)).alias("_sold"))
     pairs = store_sku_pairs(stores.select(*store_columns), products.select(*sku_columns))
-    return (
-        pairs.join(by_pair, CELL, "left")
-        .withColumns({"_days": days, "_sold": F.coalesce("_sold", F.array_repeat(F.lit(0).cast("long"), F.size(days)))})
-        .select(*sku_columns, *store_columns, F.inline(F.arrays_zip("_days", "_sold")).alias("snapshot_date", "sold_qty"))
+    return pairs.join(by_pair, CELL, "left").withColumns(
+        {"_days": days, "_sold": F.coalesce("_sold", F.array_repeat(F.lit(0).cast("long"), F.size(days)))}
     )
 
 
+def forecast_base(stores: DataFrame, products: DataFrame, sold: DataFrame, days: Column) -> DataFrame:
+    """Units sold for every store, SKU and day of ``days``, 0 where nothing sold.
+
+    The sales of a store and SKU on those days travel as one array of the calendar's days, join the pair
+    once, and the days unfold beside it. Only pairs are shuffled, not the far larger grid.
+    """
+    pairs = _pairs_with_sales(stores, products, sold, days, ["sku_id"], ["store_id"])
+    return pairs.select("sku_id", "store_id", F.inline(F.arrays_zip("_days", "_sold")).alias("snapshot_date", "sold_qty"))
+
+
 def calendar_features(df: DataFrame, month: bool = False) -> DataFrame:
     """Day of week (1 = Sunday), weekend flag, day of month; on request the month."""
     day = F.dayofweek("snapshot_date")
@@ -141,6 +143,19 @@ def rolling_features(df: DataFrame, windows: Sequence[int] = (7,), ddof: int = 0
     return df.withColumns(columns)
 
 
+def _sold_before(n: int) -> Column:
+    """Units sold ``n`` days before the day at ``_place``; NULL before the calendar begins."""
+    return F.get("_sold", F.col("_place") - n)
+
+
+def _rolling_before(days: int, ddof: int) -> tuple[Column, Column]:
+    """Mean and deviation of the ``days`` days before the day at ``_place``, as far as the calendar has them."""
+    units = [F.coalesce(_sold_before(n), F.lit(0).cast("long")) for n in range(1, days + 1)]
+    n = F.least(F.col("_place"), F.lit(days)).cast("long")
+    total, squares = reduce(Column.__add__, units), reduce(Column.__add__, [u * u for u in units])
+    return quotient(total, F.nullif(n, F.lit(0).cast("long"))), deviation(n, total, squares, ddof)
+
+
 def forecast_features(
     stores: DataFrame,
     products: DataFrame,
@@ -150,13 +165,19 @@ def forecast_features(
     ddof: int = 0,
     month: bool = False,
 ) -> DataFrame:
-    """The full feature table: calendar, lags, rolling values, static attributes, target."""
-    base = forecast_base(stores, products, sold, days, statics=True)
-    df = rolling_features(lag_features(calendar_features(base, month)), windows, ddof)
+    """The full feature table: calendar, lags, rolling values, static attributes, target.
+
+    Lags and rolling values are read off the array of the pair's days while it unfolds, so the grid is neither sorted nor moved.
+    """
+    statics = (["sku_id", *SKU_STATICS], ["store_id", *STORE_STATICS])
+    pairs = _pairs_with_sales(stores, products, sold, days, *statics)
+    places = pairs.select(*statics[0], *statics[1], "_sold", F.posexplode("_days").alias("_place", "snapshot_date"))
+    columns = {f"sales_lag_{n}": _sold_before(n) for n in LAGS}
+    for n in windows:
+        columns[f"rolling_{n}day_avg"], columns[f"rolling_{n}day_stddev"] = _rolling_before(n, ddof)
+    df = calendar_features(places, month).withColumns(columns).withColumn(TARGET, _sold_before(0))
     extra = [f"rolling_{d}day_{s}" for d in windows if d != 7 for s in ("avg", "stddev")] + (["month"] if month else [])
-    return df.withColumnRenamed("sold_qty", "target_sold_qty").select(
-        *[c for c in FEATURE_COLUMNS if c in df.columns or c == "target_sold_qty"], *extra
-    )
+    return df.select(*[c for c in FEATURE_COLUMNS if c in df.columns], *extra)
 
 
 def clean_features(features: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def test_every_statement_has_a_query():
     queries = entry_points.queries()
     assert set(SQL) <= set(queries)
     own = {name for name in queries if not name.startswith("op") and name != "pipeline"}
-    assert own - set(SQL) == {"demand_model", "forecasts"}
+    assert own - set(SQL) == {"demand_model", "forecasts", "reorder_points_model"}
 
 
 @pytest.mark.parametrize("key", sorted(SQL))
