@@ -171,6 +171,13 @@ ON_TABLES: dict[str, Callable[[LazyTables], DataFrame]] = {
     "read_pruned": lambda t: t["order_items"].groupBy("order_id").agg(F.sum("quantity").alias("units")),
     "rebuild_fact": lambda t: exchange.rebuilt(facts.daily_sales(t), "order_date"),
     "published_view": lambda t: exchange.published(facts.daily_sales(t), DAILY),
+    "write_enforced": lambda t: exchange.enforced(t, ["products", "suppliers"], "product_suppliers"),
+    "load_rejects": lambda t: exchange.sorted_out(
+        t["purchase_orders"], "purchase_orders", "quantity_ordered", F.col("sku_id") % 7 == 0, "po_line_id"
+    ),
+    "catalog_stock_outs": lambda t: kpis.stock_out_incidents(
+        exchange.through_catalog(_movement(t), "fact_daily_movement", facts.CELL)
+    ),
     "prep_order_date": lambda t: prep.with_order_date(t["orders"].drop("order_date")).select("order_id", "order_date"),
     "prep_opening_batches": lambda t: prep.assign_batch_keys(
         t["purchase_orders"].filter(F.col("actual_delivery_date") <= F.lit(P.opening_date)).drop("batch_id"), opening=True

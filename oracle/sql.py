@@ -647,6 +647,19 @@ QUERIES: dict[str, tuple[str, str]] = {
         "sku_id i, supplier_id i, cost_price f",
         "SELECT DISTINCT sku_id, supplier_id, cost AS cost_price FROM inv_po",
     ),
+    "write_enforced": (
+        "sku_id i, supplier_id i, cost_price f",
+        "SELECT DISTINCT sku_id, supplier_id, cost AS cost_price FROM inv_po",
+    ),
+    "load_rejects": (
+        "po_line_id s, reason s",
+        "SELECT po_line_id, CASE WHEN sku_id % 7 = 0 THEN 'quantity_ordered is not int' END AS reason FROM inv_po",
+    ),
+    "catalog_stock_outs": (
+        "store_id i, store_name s, sku_id i, sku_name s, stock_out_date s, cumulative_purchased i, cumulative_sold i, closing_stock i",
+        """SELECT *, movement_date AS stock_out_date, cum_bought AS cumulative_purchased, cum_sold AS cumulative_sold,
+                  closing AS closing_stock FROM inv_stockouts""",
+    ),
     "load_customers": (
         "customer_id i, customer_name s, customer_email s, customer_phone s, zone s, locality s, signup_date s",
         """SELECT c_custkey AS customer_id, c_name AS customer_name, NULL AS customer_email, NULL AS customer_phone,

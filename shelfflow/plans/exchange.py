@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfflow.operators.facts import Tables
+from shelfflow.plans import catalog
 from shelfflow.sources import files
 from shelfflow.sources.staging import run_folder
 
@@ -55,3 +58,31 @@ def published(df: DataFrame, sql: str) -> DataFrame:
     view = f"published_{uuid.uuid4().hex}"
     files.register_views({view: df})
     return df.sparkSession.sql(sql.format(view=view))
+
+
+def enforced(t: Tables, names: Sequence[str], name: str) -> DataFrame:
+    """Table ``name``, written after its parents with all constraints enforced and read back."""
+    folder = _path(t[name], "tables")
+    for n in names:
+        files.write_table(t[n], n, folder)
+    return files.write_table(t[name], name, folder)
+
+
+def sorted_out(df: DataFrame, name: str, column: str, bad: Column, key: str) -> DataFrame:
+    """The frame written as CSV with text in a number column where ``bad`` holds, loaded with rejects: key and reason of every line."""
+    path = _path(df, f"{name}.csv")
+    columns = files.SCHEMAS[name].names
+    spoilt = df.withColumn(column, F.when(bad, F.lit("n/a")).otherwise(F.col(column).cast("string")))
+    files.write_csv(spoilt.select(*columns), path)
+    rows, rejects = files.load_with_rejects(df.sparkSession, name, path)
+    rejected = rejects.select(F.split("line", ",")[columns.index(key)].alias(key), "reason")
+    return rows.select(F.col(key).cast("string").alias(key), F.lit(None).cast("string").alias("reason")).unionByName(rejected)
+
+
+def through_catalog(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """The frame as a bucketed table of the catalog, read by the name that points to it."""
+    spark, database = df.sparkSession, f"exchange_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_path(df, database)}'")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    catalog.switch(spark, database, {name: catalog.write_version(df, database, name, keys, buckets)})
+    return spark.table(f"{database}.{name}")
