@@ -4,7 +4,8 @@ A text is the vector of its letter trigrams: letters in lower case, every run of
 space, trigrams hashed into ``DIMENSIONS``, weight (1 + log of the count) times log of the inverse share of training
 documents that have it, scaled to length one.
 
-Training covers all rows with a text and a language that are not held out. The document frequencies come first; then each
+Training covers all rows with a text and a language that are not held out. Their trigrams are counted once and staged, packed, in
+the shared folder; all passes below read those. The document frequencies come first; then each
 language gets ``centroids`` clusters: seeds are its documents with the smallest hash, and a fixed number of
 rounds assigns every training document to the nearest centroid of its own language and averages. Each task sums
 its vectors per centroid; only sums travel.
@@ -39,8 +40,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfflow.llm import sums
+from shelfflow.llm import packed, sums
 from shelfflow.llm.text import sliced
+from shelfflow.sources.staging import stage
 
 DIMENSIONS = 8192
 # Classes of length, two for each doubling of the distinct trigrams, and steps of the distance in a histogram.
@@ -88,9 +90,9 @@ def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-12)
 
 
-def _size(counts: np.ndarray) -> np.ndarray:
+def _size(distinct: np.ndarray) -> np.ndarray:
     """Texts of similar length: by the logarithm of the number of distinct trigrams."""
-    return (2 * np.log2(np.maximum((counts > 0).sum(axis=1), 1))).astype(np.int64)
+    return (2 * np.log2(np.maximum(distinct, 1))).astype(np.int64)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +166,7 @@ class Model:
         distinct = (counts > 0).sum(axis=1)
         mean, deviation = self.chance[best].T
         by_chance = mean * np.sqrt(distinct) + CHANCE * deviation * np.sqrt(1 - distinct / DIMENSIONS)
-        rejected = ~known | (1 - score > self.farthest[self.owner[best], _size(counts)]) | (score <= by_chance)
+        rejected = ~known | (1 - score > self.farthest[self.owner[best], _size(distinct)]) | (score <= by_chance)
         return np.where(known, self.owner[best], -1), np.where(known, score, 0.0), rejected
 
 
@@ -177,37 +179,22 @@ def train(
 ) -> Model:
     """Fit on all ``rows`` (``id``, ``text``, ``lang``); NULL texts and languages are left out."""
     spark = rows.sparkSession
-    rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    languages = sorted(r.lang for r in rows.select("lang").distinct().limit(max_languages + 1).collect())
-    if len(languages) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    number = {lang: n for n, lang in enumerate(languages)}
+    # Seeds: for each language the rows with the smallest hashes of their ids.
+    draw = F.xxhash64(F.col("id").cast("string"), F.lit("seed"))
+    labelled = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang", draw.alias("draw"))
+    staged = stage(labelled.mapInArrow(_pack, "payload binary"))
+    languages, idf, seeds = _begin(staged, centroids, max_languages)
     if not languages:
         none = np.zeros((0, DIMENSIONS), np.float32)
         return Model([], np.ones(DIMENSIONS, np.float32), none, np.zeros(0, np.int64), np.ones((0, SIZES)))
-
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(DIMENSIONS + 1)
-        for batch in _blocks(batches):
-            counts, _ = trigram_counts(batch.column("text").to_pylist())
-            total[:-1] += (counts > 0).sum(axis=0)
-            total[-1] += batch.num_rows
-        yield sums.partial({0: total})
-
-    found = sums.summed(rows.select("text").mapInArrow(frequencies, sums.PARTIAL))[0]
-    idf = np.log((found[-1] + 1) / (found[:-1] + 1)).astype(np.float32) + 1
-
-    # Seeds: for each language the rows with the smallest hashes of their ids.
-    draw = F.xxhash64(F.col("id").cast("string"), F.lit("seed"))
-    seeds = _seed_vectors(rows, draw, idf, languages, centroids)
+    number = {lang: n for n, lang in enumerate(languages)}
     owner = np.repeat(np.arange(len(languages)), centroids)
 
-    def nearest_own(batch: pa.RecordBatch, now: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Vectors, languages, counts and, of each text, the nearest centroid of its language."""
-        counts, _ = trigram_counts(batch.column("text").to_pylist())
-        vectors = _vectors(counts, idf)
-        lang = np.array([number[x] for x in batch.column("lang").to_pylist()])
-        return vectors, lang, counts, np.where(owner[None, :] == lang[:, None], vectors @ now.T, -1.0).argmax(axis=1)
+    def nearest_own(block: _Block, now: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Vectors, languages and, of each text, the nearest centroid of its language."""
+        vectors = block.vectors(idf)
+        lang = np.array([number[x] for x in block.langs])
+        return vectors, lang, np.where(owner[None, :] == lang[:, None], vectors @ now.T, -1.0).argmax(axis=1)
 
     before, total = seeds, seeds
     for _ in range(rounds):
@@ -215,13 +202,13 @@ def train(
 
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[int, np.ndarray] = {}
-            for batch in _blocks(batches):
-                vectors, _, _, nearest = nearest_own(batch, shared.value)
+            for block in _unpacked(batches):
+                vectors, _, nearest = nearest_own(block, shared.value)
                 for c in np.unique(nearest).tolist():
                     total[c] = total.get(c, 0) + vectors[nearest == c].sum(axis=0, dtype=np.float64)
             yield sums.partial(total)
 
-        before, found = seeds, sums.summed(rows.select("text", "lang").mapInArrow(assign, sums.PARTIAL))
+        before, found = seeds, sums.collected(staged.mapInArrow(assign, sums.PARTIAL))
         total = np.array([found.get(c, np.zeros(DIMENSIONS)) for c in range(len(owner))])
         empty = ~total.any(axis=1)
         total[empty] = seeds[empty]
@@ -232,8 +219,8 @@ def train(
         before, total = shared.value
         squares = (total.astype(np.float64) ** 2).sum(axis=1)
         spread: dict[int, np.ndarray] = {}
-        for batch in _blocks(batches):
-            vectors, lang, counts, member = nearest_own(batch, before)
+        for block in _unpacked(batches):
+            vectors, lang, member = nearest_own(block, before)
             dot, place = (vectors @ total.T).astype(np.float64), np.arange(len(lang))
             length = np.broadcast_to(squares, dot.shape).copy()
             if rounds:  # the centroid a text belongs to, without the text
@@ -243,44 +230,106 @@ def train(
             cosine = np.where(owner[None, :] == lang[:, None], cosine, -1.0).max(axis=1)
             step = np.minimum((np.clip(1 - cosine, 0, 1) * STEPS).astype(np.int64), STEPS - 1)
             # Texts without letters, and such as are alone in their language, have no distance.
-            told = counts.any(axis=1) & (cosine > -1)
-            cell = _size(counts) * STEPS + step
+            told = (block.distinct > 0) & (cosine > -1)
+            cell = _size(block.distinct) * STEPS + step
             for n in np.unique(lang[told]).tolist():
                 spread[n] = spread.get(n, 0) + np.bincount(cell[told & (lang == n)], minlength=SIZES * STEPS)
         yield sums.partial(spread)
 
-    found = sums.summed(rows.select("text", "lang").mapInArrow(measure, sums.PARTIAL))
+    found = sums.collected(staged.mapInArrow(measure, sums.PARTIAL))
     none = np.zeros(SIZES * STEPS)
     spread = np.array([found.get(n, none) for n in range(len(languages))]).reshape(-1, SIZES, STEPS)
     return Model(languages, idf, seeds, owner, _limits(spread, tolerance))
 
 
-def _seed_vectors(rows: DataFrame, draw: Column, idf: np.ndarray, languages: list[str], centroids: int) -> np.ndarray:
-    """Vectors of each language's rows with the smallest draws, as many as centroids; each task keeps its own smallest."""
-
-    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[str, list[tuple[int, bytes]]] = {}
-        for batch in sliced(batches, "text"):
-            for lang, d, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "draw", "text"))):
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of labelled texts as the trigrams they have, one after another, with their counts."""
+    for batch in _blocks(batches):
+        counts, _ = trigram_counts(batch.column("text").to_pylist())
+        text, cell = np.nonzero(counts)
+        row = {
+            "langs": [batch.column("lang").to_pylist()],
+            "draws": [batch.column("draw").to_pylist()],
+            "distinct": [np.bincount(text, minlength=len(counts)).astype(np.uint32).tobytes()],
+            "cells": [cell.astype(np.uint16).tobytes()],
+            "counts": [counts[text, cell].astype(np.uint32).tobytes()],
+        }
+        yield pa.RecordBatch.from_pydict({"payload": pa.array([packed.pack_batch(pa.RecordBatch.from_pydict(row))], pa.binary())})
+
+
+class _Block:
+    def __init__(self, payload: bytes):
+        row = packed.unpack_batch(payload).to_pylist()[0]
+        self.langs, self.draws = row["langs"], row["draws"]
+        self.distinct, self.cells, self.counts = (
+            np.frombuffer(row[name], kind) for name, kind in (("distinct", np.uint32), ("cells", np.uint16), ("counts", np.uint32))
+        )
+
+    def vectors(self, idf: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(self.langs), DIMENSIONS), np.float32)
+        text = np.repeat(np.arange(len(self.langs)), self.distinct)
+        out[text, self.cells] = (1 + np.log(self.counts)).astype(np.float32) * idf[self.cells]
+        return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-12)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
+    for batch in batches:
+        for payload in batch.column("payload"):
+            yield _Block(payload.as_py())
+
+
+def _begin(staged: DataFrame, centroids: int, max_languages: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """From one pass: the languages, the weights by document frequency, and each language's seeds, the texts with the smallest draws."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(DIMENSIONS + 1)
+        best: dict[str, list[tuple[int, bytes, bytes]]] = {}
+        for block in _unpacked(batches):
+            total[:-1] += np.bincount(block.cells, minlength=DIMENSIONS)
+            total[-1] += len(block.langs)
+            ends = np.cumsum(block.distinct)
+            for n, (lang, draw) in enumerate(zip(block.langs, block.draws)):
                 held = best.setdefault(lang, [])
-                if len(held) < centroids or d < held[-1][0]:
-                    vector = _vectors(trigram_counts([text])[0], idf)[0]
-                    held.append((d, vector.tobytes()))
+                if len(held) < centroids or draw <= held[-1][0]:
+                    own = slice(int(ends[n]) - int(block.distinct[n]), int(ends[n]))
+                    held.append((draw, block.cells[own].tobytes(), block.counts[own].tobytes()))
                     held.sort()
                     del held[centroids:]
-        flat = [(lang, d, v) for lang, held in best.items() for d, v in held]
-        if flat:
-            lang, d, v = zip(*flat)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array(lang), "draw": pa.array(d, pa.int64()), "vector": pa.array(v, pa.binary())})
-
-    found = rows.select("lang", draw.alias("draw"), "text").mapInArrow(smallest, "lang string, draw long, vector binary")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "vector"))
-    chosen = found.withColumn("place", place).filter(F.col("place") <= centroids)
+        seeds = [(lang, *seed) for lang, held in best.items() for seed in held]
+        langs, draws, cells, counts = zip(*seeds) if seeds else ((), (), (), ())
+        none = [None] * len(seeds)
+        first = sums.partial({0: total}).to_pydict()
+        yield pa.RecordBatch.from_pydict(
+            {
+                "key": pa.array([*first["key"], *none], pa.int32()),
+                "task": pa.array([*first["task"], *none], pa.int64()),
+                "value": pa.array([*first["value"], *none], pa.binary()),
+                "lang": pa.array([None, *langs], pa.string()),
+                "draw": pa.array([None, *draws], pa.int64()),
+                "cells": pa.array([None, *cells], pa.binary()),
+                "counts": pa.array([None, *counts], pa.binary()),
+            }
+        )
+
+    seen = stage(staged.mapInArrow(look, f"{sums.PARTIAL}, lang string, draw long, cells binary, counts binary"))
+    found = sums.collected(seen.filter("lang IS NULL").select("key", "task", "value"))
+    if not found:
+        return [], np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32)
+    idf = np.log((found[0][-1] + 1) / (found[0][:-1] + 1)).astype(np.float32) + 1
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "cells", "counts"))
+    chosen = seen.filter("lang IS NOT NULL").withColumn("place", place).filter(F.col("place") <= centroids)
+    rows = chosen.limit((max_languages + 1) * centroids).collect()
     held: dict[str, list[np.ndarray]] = {}
-    for r in sorted(chosen.collect(), key=lambda r: r.place):
-        held.setdefault(r.lang, []).append(np.frombuffer(r.vector, np.float32))
+    for r in sorted(rows, key=lambda r: r.place):
+        counts = np.zeros((1, DIMENSIONS), np.int64)
+        counts[0, np.frombuffer(r.cells, np.uint16)] = np.frombuffer(r.counts, np.uint32)
+        held.setdefault(r.lang, []).append(_vectors(counts, idf)[0])
+    if len(held) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    languages = sorted(held)
     # A language with fewer rows than centroids repeats its last one.
-    return np.array([held[x][min(n, len(held[x]) - 1)] for x in languages for n in range(centroids)])
+    seeds = np.array([held[x][min(n, len(held[x]) - 1)] for x in languages for n in range(centroids)]).reshape(-1, DIMENSIONS)
+    return languages, idf, seeds
 
 
 def identify(
