@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from shelfflow.llm import gru, packed, sums
 from shelfflow.llm.language import held_out
-from shelfflow.llm.text import LOWER, U64, byte_sums, flat, sliced, span_hashes, words
+from shelfflow.llm.text import LOWER, U64, byte_sums, flat, sliced, text_hashes, words
 from shelfflow.sources.staging import stage
 
 BUCKETS = 128
@@ -47,7 +47,7 @@ class Tokens:
             data = LOWER[data]
             starts, ends, firsts = words(data, offsets)
             tail = data[ends - 1].astype(np.int64) * 31 + np.where(ends - starts > 1, data[ends - 2], 0)
-            hashes = span_hashes(byte_sums(data), starts, ends)
+            hashes = text_hashes(data, byte_sums(data), starts, ends)
             keys.append(hashes & ~U64(BUCKETS - 1) | (tail * 0x9E37 >> 4).astype(U64) & U64(BUCKETS - 1))
             first.append(firsts[1:] + first[-1][-1])
         self.keys, self.first = np.concatenate(keys), np.concatenate(first)

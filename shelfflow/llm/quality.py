@@ -18,6 +18,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfflow.llm.text import U64, byte_sums, flat, mix, sliced, span_hashes, window_hashes, window_starts, words
+from shelfflow.llm.text import U64, byte_sums, flat, mix, sliced, text_hashes, window_hashes, window_starts, words
 
 # The symbols that count.
 SYMBOLS = b"#*$%&|<>"
@@ -60,7 +61,7 @@ class Described:
         self.word_chars = before[first[1:]] - before[first[:-1]]
         self.n_symbols = _class_counts(data, SYMBOLS, offsets)
         sums = byte_sums(data)
-        tokens = span_hashes(sums, starts, ends)
+        tokens = text_hashes(data, sums, starts, ends)
         self.n_repeat_words = self._repeat_words(tokens, first, n)
 
         # Lines: a text begins one, and so does every byte after a line feed.
@@ -75,7 +76,7 @@ class Described:
         used = np.flatnonzero(counts)
         begin, end, text, lows, counts = begin[used], end[used], text[used], lows[used], counts[used]
         self.line_text, self.line_words = text, counts
-        key = mix(span_hashes(sums, begin, end) ^ mix(text.astype(U64)))
+        key = mix(text_hashes(data, sums, begin, end) ^ mix(text.astype(U64)))
         _, firsts = np.unique(key, return_index=True)
         duplicate = np.ones(len(key), bool)
         duplicate[firsts] = False
@@ -213,7 +214,11 @@ def fit(sequences: list[np.ndarray], labels: list[int], steps: int = 40, rate: f
 def train(
     docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, sample_docs: int = 2000, sample_lines: int = 200
 ) -> LineModel:
-    """Fit the line model on a bounded sample of the labelled documents."""
+    """Fit the line model on a bounded sample of the labelled documents.
+
+    Of a text with more than ``sample_lines`` lines two stretches of that many are learned from: one at a place that follows from its
+    id, and its last one.
+    """
     chosen = (
         labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("doc_id")
@@ -230,19 +235,28 @@ def train(
         for batch in sliced(batches, "text"):
             found = Described(batch.column("text"))
             edges = np.searchsorted(found.line_text, np.arange(batch.num_rows + 1))
-            bits = [np.packbits(found.features[a:b][:sample_lines]).tobytes() for a, b in zip(edges[:-1], edges[1:])]
-            lines = np.minimum(np.diff(edges), sample_lines)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").cast(pa.string()), batch.column("quality"), pa.array(lines), pa.array(bits, pa.binary())],
-                names=["id", "quality", "lines", "bits"],
-            )
-
-    # Rows may repeat an id: the sample stays bounded.
-    found = rows.mapInArrow(describe, "id string, quality int, lines long, bits binary").filter("lines > 0")
-    found = sorted(found.limit(2 * sample_docs).collect(), key=lambda r: (r.id, r.bits))
+            rows = []
+            for n, (id_, quality) in enumerate(zip(batch.column("id").cast(pa.string()).to_pylist(), batch.column("quality").to_pylist())):
+                first, last = int(edges[n]), int(edges[n + 1])
+                begins = [first]
+                if last - first > sample_lines:
+                    begins = [first + zlib.crc32(id_.encode()) % (last - first - sample_lines), last - sample_lines]
+                ends = [min(begin + sample_lines, last) for begin in begins]
+                parts = [(end - begin, np.packbits(found.features[begin:end]).tobytes()) for begin, end in zip(begins, ends)]
+                rows.append((id_, quality, *parts[0], *(parts[1] if len(parts) > 1 else (0, b""))))
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.binary())
+            names = ["id", "quality", "lines", "bits", "last_lines", "last_bits"]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+
+    described = "id string, quality int, lines long, bits binary, last_lines long, last_bits binary"
+    found = rows.mapInArrow(describe, described).filter("lines > 0")
+    # Rows may repeat an id: the text with the least lines counts, so the sample stays bounded and is the same in every run.
+    one = F.min(F.struct("quality", "lines", "bits", "last_lines", "last_bits")).alias("text")
+    texts = [r.text for r in sorted(found.groupBy("id").agg(one).collect(), key=lambda r: r.id)]
+    parts = [(t.quality, lines, bits) for t in texts for lines, bits in ((t.lines, t.bits), (t.last_lines, t.last_bits)) if lines]
     width = len(FEATURES)
-    sequences = [np.unpackbits(np.frombuffer(r.bits, np.uint8), count=r.lines * width).reshape(-1, width) for r in found]
-    return fit(sequences, [int(r.quality > 0) for r in found])
+    sequences = [np.unpackbits(np.frombuffer(bits, np.uint8), count=lines * width).reshape(-1, width) for _, lines, bits in parts]
+    return fit(sequences, [int(quality > 0) for quality, _, _ in parts])
 
 
 def assess(

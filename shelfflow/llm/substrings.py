@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfflow.llm import packed
-from shelfflow.llm.text import byte_sums, flat, lowest, mix, sliced, span_hashes, window_hashes, window_starts, words
+from shelfflow.llm.text import byte_sums, flat, lowest, mix, sliced, text_hashes, window_hashes, window_starts, words
 
 
 def level_lengths(length: int, base: int) -> list[int]:
@@ -45,7 +45,7 @@ class _Windows:
             data, offsets = flat(part.column(text))
             starts, ends, firsts = words(data, offsets)
             first.append(firsts[1:] + first[-1][-1])
-            hashes.append(span_hashes(byte_sums(data), starts, ends))
+            hashes.append(text_hashes(data, byte_sums(data), starts, ends))
         self.words = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         self.first = np.concatenate(first)
         self.length = length

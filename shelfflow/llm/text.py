@@ -11,6 +11,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 # The separators \x20 and \x09 to \x0D, and A-Z to lower case.
@@ -124,6 +125,18 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
+# Spans of more bytes are hashed whole: sums modulo 2**64 of some long strings of two letters agree by their construction.
+LONG_SPAN = 256
+
+
+def text_hashes(data: np.ndarray, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words or lines of any length, of which no two strings are known to agree."""
+    hashes = span_hashes(sums, starts, ends)
+    for n in np.flatnonzero(ends - starts > LONG_SPAN).tolist():
+        hashes[n] = xxhash.xxh64_intdigest(data[starts[n] : ends[n]], 20)
+    return hashes
+
+
 def window_hashes(symbols: np.ndarray, length: int) -> np.ndarray:
     """Hashes of all windows of ``length`` symbols, also of those that cross rows."""
     if len(symbols) < length:
