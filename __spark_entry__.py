@@ -31,8 +31,8 @@ except ModuleNotFoundError as missing:
 
 Query = Callable[[SparkSession, str], DataFrame]
 P = Params()
-# Boosting rounds of the registered model queries, at most; the library's own default is 300.
-ROUNDS = 100
+# Boosting rounds of the registered model queries, at most; the default of the library is 300.
+ROUNDS = 40
 # The model whose training and prediction SQL can repeat.
 SMALL_MODEL = demand.ModelParams(max_iter=2, max_depth=2, patience=None)
 
