@@ -50,6 +50,11 @@ def test_features_against_plain_lists(shop, sold):
     assert features.clean_features(df).count() == 3 * 4 * 12
 
 
+def test_the_grid_unfolds_in_all_tasks(spark, shop, sold):
+    df = features.forecast_features(shop["dark_stores"], shop["products"], sold, calendar(START, END))
+    assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_sample_deviation_more_windows_and_month(shop, sold):
     df = features.forecast_features(
         shop["dark_stores"], shop["products"], sold, calendar(START, END), windows=(7, 14, 30), ddof=1, month=True
