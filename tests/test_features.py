@@ -55,6 +55,12 @@ def test_the_grid_unfolds_in_all_tasks(spark, shop, sold):
     assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_a_task_holds_a_bounded_number_of_pairs(shop, sold, monkeypatch):
+    monkeypatch.setattr(features._tasks, "__defaults__", (2,))
+    df = features.forecast_features(shop["dark_stores"], shop["products"], sold, calendar(START, END))
+    assert df.rdd.getNumPartitions() == 3 * 4 // 2 and df.count() == 3 * 4 * 40
+
+
 def test_sample_deviation_more_windows_and_month(shop, sold):
     df = features.forecast_features(
         shop["dark_stores"], shop["products"], sold, calendar(START, END), windows=(7, 14, 30), ddof=1, month=True
