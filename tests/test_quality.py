@@ -2,6 +2,8 @@
 
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from shelfflow.operators import facts, quality
 from shelfflow.schemas import Params
 
@@ -14,6 +16,21 @@ def test_unique_and_null(shop):
     assert nulls == {"actual_delivery_date": 1, "sku_id": 0}
 
 
+def test_unique_keys_stay_in_all_tasks(spark):
+    keys = spark.range(20_000).select((F.col("id") % 10_000).alias("k"), F.lit("x").alias("other"))
+    repeated = quality.check_unique(keys, ["k"])
+    tasks = [r["count"] for r in repeated.groupBy(F.spark_partition_id()).count().collect()]
+    # Few bytes, but not merged into one task: a task's keys are bounded by the number of partitions.
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(tasks) == 10_000
+    assert max(tasks) < 3_000
+
+
+def test_repeated_null_and_hot_keys(spark):
+    rows = spark.range(5_000).selectExpr("if(id < 4000, NULL, 7) AS a", "if(id < 4998, 'hot', string(id)) AS b")
+    got = {tuple(r) for r in quality.check_unique(rows, ["a", "b"]).collect()}
+    assert got == {(None, "hot", 4_000), (7, "hot", 998)}
+
+
 def test_duplicates_over_all_tables(shop):
     assert quality.duplicate_keys(shop).count() == 0
     twice = shop.replaced(orders=shop["orders"].unionByName(shop["orders"].filter("order_id = 4")))
