@@ -3,6 +3,8 @@
 from datetime import date
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from shelfflow.operators import facts
 from shelfflow.schemas import Params
 
@@ -63,3 +65,16 @@ def test_fully_sold_batch_is_not_wasted(shop, frame):
     )
     log = facts.wastage_log(shop, items)
     assert log.filter("batch_id = 11").count() == 0
+
+
+def test_wastage_stays_in_all_tasks(shop, frame, spark):
+    lines = [
+        {"batch_id": 100 + n, "po_line_id": f"L{n}", "store_id": 1, "sku_id": 1, "actual_delivery_date": date(2025, 1, 1), "quantity_ordered": 2}
+        for n in range(400)
+    ]
+    t = shop.replaced(purchase_orders=frame("purchase_orders", lines))
+    log = facts.wastage_log(t, t["order_items"])
+    tasks = [r["count"] for r in log.groupBy(F.spark_partition_id()).count().collect()]
+    # Few bytes, but not merged into one task: a task's rows are bounded by the number of partitions.
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions")) and sum(tasks) == 400
+    assert max(tasks) < 200
