@@ -211,3 +211,17 @@ def test_all_items_at_midnight(frame):
     ]
     case = (items, orders, po, {1: 3, 2: 9})
     assert outcome(allocate(frame, *case, True)) == greedy(*case, True)
+
+
+def test_days_are_summed_by_one_window(spark):
+    """Lots that arrive on a sale day count from that day on, those that expire on it no more; no sum per day runs before the window."""
+    demand = spark.createDataFrame([(1, 1, on(2), 5), (1, 1, on(4), 7)], "store_id int, sku_id int, day date, units long")
+    lots = spark.createDataFrame(
+        [(1, 1, on(2), 8, 3, on(4)), (1, 1, on(2), 9, 4, on(4)), (1, 1, on(4), 8, 6, None), (1, 1, on(5), 8, 9, None)],
+        "store_id int, sku_id int, day date, batch_id long, units long, gone date",
+    )
+    timeline = fifo._timeline(demand, lots)
+    got = [(r.day, r.arrived, r.expired, r.demanded, r.demand) for r in timeline.orderBy("day").collect()]
+    assert got == [(on(2), 7, 0, 0, 5), (on(4), 13, 7, 5, 7)]
+    plan = timeline._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") == 1 and "Aggregate" not in plan
