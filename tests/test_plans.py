@@ -119,6 +119,25 @@ def test_model_beats_the_mean_and_is_not_negative(spark, objective):
     assert mae < 0.6 * naive
 
 
+@pytest.mark.parametrize("name", ["demand_model"])
+def test_registered_models_may_grow_all_rounds(tables, monkeypatch, name):
+    """The full model's rounds, depth and patience, on every row before the split."""
+    import __spark_entry__ as entry_points
+
+    class Asked(Exception):
+        pass
+
+    def asked(train, m):
+        raise Asked(m)
+
+    monkeypatch.setattr(demand, "stage", lambda df: df)
+    monkeypatch.setattr(demand, "fit_demand_model", asked)
+    with pytest.raises(Asked) as found:
+        entry_points.ON_TABLES[name](tables)
+    power = 1.5 if name == "demand_model" else 1.9
+    assert found.value.args[0] == demand.ModelParams("tweedie", power, 300, 6, 0.05, 20)
+
+
 def test_unseen_category_can_be_scored(spark):
     clean = clean_rows(spark, days=20, skus=4)
     m = demand.ModelParams(max_iter=2, max_depth=2, max_bins=32)
