@@ -119,7 +119,7 @@ def test_model_beats_the_mean_and_is_not_negative(spark, objective):
     assert mae < 0.6 * naive
 
 
-@pytest.mark.parametrize("name", ["demand_model", "forecasts"])
+@pytest.mark.parametrize("name", ["demand_model", "forecasts", "reorder_points_model"])
 def test_registered_models_may_grow_all_rounds(tables, monkeypatch, name):
     """The full model's rounds, depth and patience, on every row before the split."""
     import __spark_entry__ as entry_points
